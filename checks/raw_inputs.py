@@ -1,0 +1,167 @@
+"""Messy raw tables derived from the driver tables.
+
+The driver tables are clean, so the SQL below renders them as the raw text tables that the
+library expects and damages some values: missing and malformed ids, re-sent rows, odd casing,
+currency suffixes, missing-value tokens, orphans. Every branch reads a whole driver table. The
+text runs unchanged in Spark and in DuckDB, so both sides of a check start from equal inputs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.sources import conform_raw
+
+SOURCE_TABLES = ("customer", "nation", "part", "orders", "lineitem", "events")
+
+RAW_SQL: dict[str, str] = {
+    # Some ids are unreadable; accounts in debt are sent again with a new segment.
+    "customers": """
+SELECT c_custkey AS _ingest_seq,
+  CASE WHEN c_custkey % 50 = 7 THEN concat('x', CAST(c_custkey AS STRING)) ELSE CAST(c_custkey AS STRING) END AS customer_id,
+  concat(' ', c_name, ' ') AS customer_name,
+  CASE WHEN c_custkey % 5 = 0 THEN lower(c_mktsegment) WHEN c_custkey % 77 = 1 THEN 'N/A' ELSE concat(c_mktsegment, ' ') END AS segment,
+  concat(lower(n_name), '-east o''neil') AS country,
+  CASE WHEN c_custkey % 40 = 3 THEN 'soon' ELSE CAST(CAST('2024-01-01' AS DATE) + CAST(c_custkey % 730 AS INT) AS STRING) END AS signup_date,
+  CASE WHEN c_custkey % 9 = 0 THEN 'null' ELSE concat('c', CAST(c_custkey AS STRING), '@example.com') END AS email
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
+UNION ALL
+SELECT c_custkey + 100000000, CAST(c_custkey AS STRING), c_name, 'vip', n_name, '2025-02-01', 'NaN'
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_acctbal < 0
+""",
+    # Some parts lack their id; parts of the largest size are sent again in a new category.
+    "products": """
+SELECT p_partkey AS _ingest_seq,
+  CASE WHEN p_partkey % 100 = 13 THEN '' ELSE concat('p', CAST(p_partkey AS STRING), ' ') END AS product_id,
+  p_name AS product_name, concat(lower(p_type), ' ', p_brand) AS category,
+  CAST(CAST(p_retailprice AS DECIMAL(14,2)) AS STRING) AS standard_price,
+  CASE WHEN p_partkey % 10 = 3 THEN 'False' ELSE 'True' END AS is_active
+FROM {part}
+UNION ALL
+SELECT p_partkey + 100000000, concat('P', CAST(p_partkey AS STRING)), p_name, 'clearance SALE', 'ask', 'False'
+FROM {part} WHERE p_size = 50
+""",
+    # Small orders are sent again as cancelled, the urgent ones among them without a customer.
+    "orders_master": """
+SELECT o_orderkey AS _ingest_seq,
+  CASE WHEN o_orderkey % 4 = 1 THEN concat(CAST(o_orderkey AS STRING), '.0') ELSE CAST(o_orderkey AS STRING) END AS order_id,
+  CASE WHEN o_orderkey % 500 = 3 THEN 'NA' ELSE CAST(o_custkey AS STRING) END AS customer_id,
+  CASE WHEN o_orderkey % 300 = 2 THEN 'not-a-date' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS order_date,
+  CASE WHEN o_orderstatus = 'F' THEN ' Paid ' WHEN o_orderstatus = 'O' THEN 'paid' WHEN o_orderkey % 3 = 0 THEN 'Cancelled'
+       WHEN o_orderkey % 3 = 1 THEN 'pending' ELSE 'PAID' END AS order_status,
+  CASE o_orderkey % 3 WHEN 0 THEN 'Online' WHEN 1 THEN 'store ' ELSE 'APP' END AS sales_channel, ' chf' AS currency
+FROM {orders}
+UNION ALL
+SELECT o_orderkey + 100000000, CAST(o_orderkey AS STRING),
+  CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE CAST(o_custkey AS STRING) END,
+  CAST(CAST(o_orderdate AS DATE) AS STRING), 'cancelled', 'online', 'CHF'
+FROM {orders} WHERE o_totalprice < 10000
+""",
+    # Full-size lines appear twice; some quantities, discounts, prices and products are missing.
+    "order_details": """
+SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(l_linenumber AS STRING) AS line_id,
+  CASE WHEN l_quantity = 1 AND l_linestatus = 'O' THEN NULL ELSE concat(' p', CAST(l_partkey AS STRING)) END AS product_id,
+  CASE WHEN (l_orderkey + l_linenumber) % 97 = 0 THEN 'n/a' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity,
+  CASE WHEN l_orderkey % 911 = 6 THEN 'on request'
+       ELSE concat(CASE WHEN l_orderkey % 700 = 5 THEN '-' ELSE '' END, CAST(CAST(p_retailprice AS DECIMAL(14,2)) AS STRING),
+                   CASE WHEN l_orderkey % 2 = 0 THEN ' CHF' WHEN l_orderkey % 5 = 1 THEN ' chf' ELSE '' END) END AS unit_price,
+  CASE WHEN l_discount = 0 THEN NULL ELSE CAST(CAST(round(l_discount * 100, 0) AS INT) AS STRING) END AS discount_pct
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+UNION ALL
+SELECT CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), concat('P', CAST(l_partkey AS STRING)),
+  CAST(CAST(l_quantity AS INT) AS STRING), concat(CAST(CAST(p_retailprice AS DECIMAL(14,2)) AS STRING), ' CHF'),
+  CASE WHEN l_discount = 0 THEN '0' ELSE CAST(CAST(round(l_discount * 100, 0) AS INT) AS STRING) END
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey WHERE l_quantity = 50
+""",
+    # One event per order, then re-sent copies, refunds, and retries of failed events.
+    "payments": """
+SELECT o_orderkey AS _ingest_seq,
+  CASE WHEN o_orderkey % 20 = 17 THEN NULL ELSE CAST(o_orderkey * 10 + 1 AS STRING) END AS payment_id,
+  CASE WHEN o_orderkey % 1000 = 999 THEN CAST(o_orderkey + 900000000 AS STRING) ELSE CAST(o_orderkey AS STRING) END AS order_id,
+  CASE WHEN o_orderkey % 70 = 3 THEN 'unknown' ELSE CAST(CAST(o_orderdate AS DATE) + 1 AS STRING) END AS payment_datetime,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Card' WHEN '2-HIGH' THEN 'cash' WHEN '3-MEDIUM' THEN 'installment'
+       WHEN '4-NOT SPECIFIED' THEN 'loyalty_card' ELSE ' points' END AS payment_type,
+  CASE WHEN EXTRACT(MONTH FROM o_orderdate) = 2 THEN 'failed' WHEN EXTRACT(MONTH FROM o_orderdate) = 3 THEN 'pending'
+       WHEN o_orderkey % 800 = 9 THEN 'None' ELSE 'Success ' END AS payment_status,
+  CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS STRING) END AS payment_amount,
+  CASE WHEN o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') OR o_orderkey % 60 = 8 THEN NULL
+       WHEN o_orderkey % 40 = 4 THEN concat('c', CAST(o_custkey + 1 AS STRING))
+       WHEN o_custkey % 3 = 2 THEN concat('c', CAST(o_custkey - 1 AS STRING))
+       ELSE concat('c', CAST(o_custkey AS STRING)) END AS card_id,
+  CASE WHEN o_orderpriority = '5-LOW' THEN '50' ELSE NULL END AS points_used
+FROM {orders}
+UNION ALL
+SELECT o_orderkey + 100000000, CAST(o_orderkey * 10 + 1 AS STRING), CAST(o_orderkey AS STRING),
+  CAST(CAST(o_orderdate AS DATE) + 1 AS STRING), 'card', 'failed', '10.00', NULL, '0'
+FROM {orders} WHERE o_totalprice > 495000
+UNION ALL
+SELECT o_orderkey + 200000000, CAST(o_orderkey * 10 + 2 AS STRING), CAST(o_orderkey AS STRING),
+  CAST(CAST(o_orderdate AS DATE) + 2 AS STRING), 'refund', CASE WHEN o_orderstatus = 'P' THEN 'success' ELSE 'Refunded' END,
+  CASE WHEN o_orderstatus = 'P' THEN '250.5' ELSE '-1000' END, NULL, NULL
+FROM {orders} WHERE EXTRACT(MONTH FROM o_orderdate) IN (1, 5, 9)
+UNION ALL
+SELECT o_orderkey + 300000000, CAST(o_orderkey * 10 + 3 AS STRING), CAST(o_orderkey AS STRING),
+  CAST(CAST(o_orderdate AS DATE) + 3 AS STRING), 'card', 'success', CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS STRING), '', '0'
+FROM {orders} WHERE EXTRACT(MONTH FROM o_orderdate) = 2
+""",
+    # A third of the customers have a blank card; rich builders own a second one; debtors are blocked later.
+    "customer_cards": """
+SELECT c_custkey AS _ingest_seq,
+  CASE WHEN c_custkey % 3 = 2 THEN '' WHEN c_custkey % 4 = 0 THEN concat(' c', CAST(c_custkey AS STRING))
+       ELSE concat('C', CAST(c_custkey AS STRING)) END AS card_id,
+  CASE WHEN c_custkey % 90 = 1 THEN '?' ELSE CAST(c_custkey AS STRING) END AS customer_id,
+  CAST(CAST('2024-01-01' AS DATE) + CAST(c_custkey % 700 AS INT) AS STRING) AS card_created_at,
+  CASE c_custkey % 10 WHEN 0 THEN 'blocked' WHEN 1 THEN 'Inactive' ELSE 'active' END AS card_status
+FROM {customer}
+UNION ALL
+SELECT c_custkey + 100000000, concat('D', CAST(c_custkey AS STRING)), CAST(c_custkey AS STRING), '2025-01-01', 'ACTIVE'
+FROM {customer} WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 8000
+UNION ALL
+SELECT c_custkey + 200000000, CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE concat('c', CAST(c_custkey AS STRING)) END,
+  CAST(c_custkey AS STRING), '2025-06-01', 'blocked'
+FROM {customer} WHERE c_acctbal < -500
+""",
+    # Bands of 20000 seen in the orders, the top one open, one unreadable tier and one that overlaps.
+    "points_thresholds": """
+SELECT CAST(band AS STRING) AS threshold_id, CAST(band * 20000 AS STRING) AS min_amount,
+  CASE WHEN band = (SELECT MAX(CAST(floor(o_totalprice / 20000) AS BIGINT)) FROM {orders}) THEN NULL ELSE concat(CAST(band * 20000 + 19999 AS STRING), '.99') END AS max_amount,
+  CAST(band * 5 AS STRING) AS points_awarded
+FROM (SELECT CAST(floor(o_totalprice / 20000) AS BIGINT) AS band FROM {orders} GROUP BY 1) AS bands
+UNION ALL
+SELECT 'promo', '0', NULL, CAST(CAST(floor(MAX(o_totalprice)) AS BIGINT) AS STRING) FROM {orders}
+UNION ALL
+SELECT '999', '105000', '109999.99', CAST(CAST(floor(MAX(o_totalprice) / 10000) AS BIGINT) AS STRING) FROM {orders}
+""",
+    # High-priority orders already earned points; every user event moves points in some way.
+    "card_points_ledger": """
+SELECT concat('R', CAST(o_orderkey AS STRING)) AS ledger_id,
+  CASE WHEN o_custkey % 3 = 2 AND o_totalprice < 450000 THEN '' ELSE concat('c', CAST(o_custkey AS STRING)) END AS card_id,
+  concat(CAST(o_orderkey AS STRING), '.0') AS order_id,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) AS event_datetime, 'Earn ' AS event_type, '20' AS points_delta
+FROM {orders} WHERE o_orderpriority = '2-HIGH'
+UNION ALL
+SELECT concat('E', CAST(event_id AS STRING)),
+  CASE WHEN user_id % 3 = 2 AND event_id % 500 <> 0 THEN NULL ELSE concat('C', CAST(user_id AS STRING)) END,
+  NULL, CAST(CAST(ts AS DATE) AS STRING),
+  CASE event_type WHEN 'click' THEN 'redeem' WHEN 'view' THEN 'adjustment' WHEN 'signup' THEN 'EARN' ELSE 'correction' END,
+  CASE event_type WHEN 'click' THEN CAST(-CAST(floor(value) AS INT) AS STRING) WHEN 'view' THEN CAST(CAST(floor(value / 10) AS INT) AS STRING)
+       WHEN 'signup' THEN '2.5' WHEN 'purchase' THEN 'pending' ELSE '-5' END
+FROM {events}
+""",
+}
+
+
+def raw_cells(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    """Raw ``tables`` as a source system would hand them over: missing values still spelled out."""
+    used = {name for name in SOURCE_TABLES for table in tables if f"{{{name}}}" in RAW_SQL[table]}
+    sources = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in used}
+    return {
+        table: spark.sql(RAW_SQL[table], **{n: df for n, df in sources.items() if f"{{{n}}}" in RAW_SQL[table]})
+        for table in tables
+    }
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    """Raw ``tables`` (all of them by default), conformed."""
+    cells = raw_cells(spark, sf_dir, *(tables or RAW_SQL))
+    return {table: conform_raw(df, table) for table, df in cells.items()}

@@ -1,0 +1,322 @@
+"""The registered queries: each runs one operator or table over the whole driver tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.raw_inputs import raw_cells, raw_tables
+from ledgerloom.functions import (
+    amount_value,
+    datetime_value,
+    lower_text,
+    price_value,
+    strip_text,
+    title_text,
+    upper_text,
+    whole_number,
+)
+from ledgerloom.operators import dedup_exact, dedup_latest, require_keys, tier_lookup
+from ledgerloom.plans import analytics, loyalty, marts, quality, staging
+from ledgerloom.plans.run import run_layers, run_summary, write_facts, write_layer, write_staging
+from ledgerloom.schema import PERCENT, PRICE, QUANTITY, RAW_COLUMNS
+from ledgerloom.sources import read_raw_csv, work_folder, write_table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles by way of four exact decimals, the form both engines can be compared in."""
+    return df.select(
+        *(
+            F.col(f.name).cast("decimal(18,4)").cast("double").alias(f.name)
+            if isinstance(f.dataType, T.DecimalType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        )
+    )
+
+
+# Raw scan and column expressions
+
+
+def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the raw orders as CSV and read them back the way raw files are read."""
+    path = f"{work_folder(spark, 'raw')}/orders_master.csv"
+    cells = raw_cells(spark, sf_dir, "orders_master")["orders_master"].select(*RAW_COLUMNS["orders_master"])
+    write_table(cells, path, "csv")
+    return read_raw_csv(spark, path, "orders_master").select(*RAW_COLUMNS["orders_master"])
+
+
+def _raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return raw_tables(spark, sf_dir, table)[table]
+
+
+def norm_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "order_details").select(
+        whole_number(F.col("order_id")).alias("order_id"),
+        amount_value(F.col("quantity"), QUANTITY).alias("quantity"),
+        amount_value(F.col("discount_pct"), PERCENT).alias("discount_pct"),
+    )
+
+
+def norm_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "orders_master").select(
+        "order_id", datetime_value(F.col("order_date")).alias("order_date")
+    )
+
+
+def norm_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "orders_master").select(
+        "_ingest_seq",
+        lower_text(F.col("order_status")).alias("order_status"),
+        lower_text(F.col("sales_channel")).alias("sales_channel"),
+    )
+
+
+def norm_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "payments").select("_ingest_seq", upper_text(F.col("card_id")).alias("card_id"))
+
+
+def norm_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    countries = _raw(spark, sf_dir, "customers").select("_ingest_seq", title_text(F.col("country")).alias("country"))
+    return countries.unionAll(_raw(spark, sf_dir, "products").select("_ingest_seq", title_text(F.col("category"))))
+
+
+def norm_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "customers").select(
+        "_ingest_seq", strip_text(F.col("customer_name")).alias("customer_name")
+    )
+
+
+def norm_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir, "order_details").select(
+        F.col("unit_price").alias("raw_price"), price_value(F.col("unit_price"), PRICE).alias("unit_price")
+    )
+
+
+def norm_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw(spark, sf_dir, "order_details")
+    typed = staging.typed_order_details(raw.withColumn("unit_price", F.lit(None).cast("string")))
+    return typed.select(
+        F.col("order_id").cast("string"), F.col("line_id").cast("string"), "product_id", "quantity", "discount_pct"
+    )
+
+
+def query_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = require_keys(staging.typed_orders(_raw(spark, sf_dir, "orders_master")), "order_id")
+    return dedup_latest(typed, "order_id")
+
+
+def query_dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_exact(_raw(spark, sf_dir, "order_details"), RAW_COLUMNS["order_details"])
+
+
+# Staging and marts, planned from the raw tables in one go
+
+Tables = dict[str, DataFrame]
+
+# Raw tables behind each fact.
+ORDER_INPUTS = ("orders_master", "order_details", "payments", "customers")
+LEDGER_INPUTS = (*ORDER_INPUTS, "customer_cards", "points_thresholds", "card_points_ledger")
+
+
+def _inputs(spark: SparkSession, sf_dir: str, *tables: str) -> tuple[Tables, Tables]:
+    """Staging tables and frequent keys of the raw ``tables``."""
+    raw = raw_tables(spark, sf_dir, *tables)
+    return staging.build_staging(raw), staging.raw_frequent_keys(raw)
+
+
+def staged(name: str) -> Query:
+    return lambda spark, sf_dir: _inputs(spark, sf_dir, staging.BUILDERS[name][0])[0][name]
+
+
+def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_customers(staged("stg_customers")(spark, sf_dir))
+
+
+def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_products(staged("stg_products")(spark, sf_dir))
+
+
+def fact_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg, frequent = _inputs(spark, sf_dir, "order_details", "products")
+    return marts.fact_order_lines(stg["stg_order_details"], stg["stg_products"], frequent["product_id"])
+
+
+def fact_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.fact_payments(staged("stg_payments")(spark, sf_dir))
+
+
+def order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.order_amounts(marts.price_lines(staged("stg_order_details")(spark, sf_dir)))
+
+
+def payment_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.payment_aggregates(fact_payments(spark, sf_dir))
+
+
+def latest_payment_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.latest_payment_status(fact_payments(spark, sf_dir))
+
+
+def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.build_fact_orders(*_inputs(spark, sf_dir, *ORDER_INPUTS))
+
+
+def query_tier_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg, frequent = _inputs(spark, sf_dir, *ORDER_INPUTS, "points_thresholds")
+    orders = marts.build_fact_orders(stg, frequent).select("order_id", "order_expected_amount")
+    return tier_lookup(orders, "order_expected_amount", stg["stg_points_thresholds"])
+
+
+def ledger_computed_earn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
+    return loyalty.computed_earn(
+        marts.build_fact_orders(stg, frequent), stg["stg_customer_cards"], stg["stg_points_thresholds"],
+        stg["stg_card_points_ledger"], frequent["customer_id"],
+    )
+
+
+def _ledger(orders: DataFrame, stg: Tables, frequent: Tables) -> DataFrame:
+    return loyalty.fact_card_points_ledger(
+        orders, stg["stg_customer_cards"], stg["stg_points_thresholds"], stg["stg_card_points_ledger"], frequent
+    )
+
+
+def fact_card_points_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
+    return _ledger(marts.build_fact_orders(stg, frequent), stg, frequent)
+
+
+# Analytics and quality
+
+
+def card_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loyalty.card_balance(fact_card_points_ledger(spark, sf_dir))
+
+
+def revenue_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.revenue_by_day(fact_orders(spark, sf_dir))
+
+
+def revenue_by_customer_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.revenue_by_customer_segment(fact_orders(spark, sf_dir))
+
+
+def loyalty_card_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.loyalty_card_summary(fact_card_points_ledger(spark, sf_dir))
+
+
+def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several aggregates read the orders and the ledger, so both are written once first."""
+    folder = work_folder(spark, "kpi")
+    stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
+    orders = write_layer(spark, {"fact_orders": marts.build_fact_orders(stg, frequent)}, folder)["fact_orders"]
+    ledger = write_layer(spark, {"fact_card_points_ledger": _ledger(orders, stg, frequent)}, folder)
+    return analytics.kpi_summary(orders, ledger["fact_card_points_ledger"])
+
+
+def data_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many checks read the same tables, so staging and marts are written once first."""
+    folder = work_folder(spark, "quality")
+    raw = raw_tables(spark, sf_dir)
+    stg = write_staging(spark, raw, folder)
+    return quality.quality_report(raw, stg, write_facts(spark, stg, folder))
+
+
+# Raw tables that each single check needs.
+CHECK_INPUTS: dict[str, tuple[str, ...]] = {
+    "duplicate_orders": ("orders_master",),
+    "duplicate_payment_ids": ("payments",),
+    "orders_without_customer": ORDER_INPUTS,
+    "order_details_without_order": ("orders_master", "order_details", "payments"),
+    "order_lines_with_invalid_product": ("order_details", "products"),
+    "payments_without_order": ("orders_master", "order_details", "payments"),
+    "payments_with_invalid_card": ("orders_master", "payments", "customer_cards"),
+    "payments_with_card_not_owned_by_customer": ("orders_master", "payments", "customer_cards"),
+    "payments_using_inactive_or_blocked_card": ("orders_master", "payments", "customer_cards"),
+    "orders_without_payment": ORDER_INPUTS,
+    "cancelled_orders_with_successful_payment": ORDER_INPUTS,
+    "paid_orders_without_successful_payment": ORDER_INPUTS,
+    "orders_with_negative_expected_amount": ORDER_INPUTS,
+    "orders_overpaid": ORDER_INPUTS,
+    "points_used_without_card": ("payments",),
+    "points_ledger_invalid_card": ("card_points_ledger", "customer_cards"),
+    "negative_points_balance": ("card_points_ledger", "customer_cards"),
+}
+
+
+def quality_check(name: str) -> Query:
+    """One check on its own, planned from the raw tables."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = raw_tables(spark, sf_dir, *CHECK_INPUTS[name])
+        stg, frequent = staging.build_staging(raw), staging.raw_frequent_keys(raw)
+        facts: Tables = {}
+        if CHECK_INPUTS[name] == ORDER_INPUTS:
+            facts["fact_orders"] = marts.build_fact_orders(stg, frequent)
+        if "stg_products" in stg:
+            facts["fact_order_lines"] = marts.fact_order_lines(
+                stg["stg_order_details"], stg["stg_products"], frequent["product_id"]
+            )
+        if "stg_payments" in stg:
+            facts["fact_payments"] = marts.fact_payments(stg["stg_payments"])
+        return quality.quality_check(name, raw, stg, facts)
+
+    return query
+
+
+def query_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_summary(spark, run_layers(spark, raw_tables(spark, sf_dir), work_folder(spark, "run")))
+
+
+QUERIES: dict[str, Query] = {
+    "raw_scan": raw_scan,
+    "norm_numeric": norm_numeric,
+    "norm_datetime": norm_datetime,
+    "norm_lower": norm_lower,
+    "norm_upper": norm_upper,
+    "norm_title": norm_title,
+    "norm_strip": norm_strip,
+    "norm_price": norm_price,
+    "norm_fill": norm_fill,
+    "dedup_latest": query_dedup_latest,
+    "dedup_exact": query_dedup_exact,
+    **{
+        name: staged(name)
+        for name in (
+            "stg_orders_master", "stg_order_details", "stg_payments", "stg_customers", "stg_customer_cards",
+            "stg_products", "stg_points_thresholds", "stg_card_points_ledger",
+        )
+    },
+    "dim_customers": dim_customers,
+    "dim_products": dim_products,
+    "fact_order_lines": fact_order_lines,
+    "fact_payments": fact_payments,
+    "order_amounts": order_amounts,
+    "payment_aggregates": payment_aggregates,
+    "latest_payment_status": latest_payment_status,
+    "fact_orders": fact_orders,
+    "tier_lookup": query_tier_lookup,
+    "ledger_computed_earn": ledger_computed_earn,
+    "fact_card_points_ledger": fact_card_points_ledger,
+    "card_balance": card_balance,
+    "revenue_by_day": revenue_by_day,
+    "revenue_by_customer_segment": revenue_by_customer_segment,
+    "loyalty_card_summary": loyalty_card_summary,
+    "kpi_summary": kpi_summary,
+    "data_quality_report": data_quality_report,
+    **{f"dq_{name}": quality_check(name) for name in quality.CHECKS},
+    "run_summary": query_run_summary,
+}
+
+
+def queries() -> dict[str, Query]:
+    """Every query with its decimals in comparable form."""
+    return {
+        name: lambda spark, sf_dir, build=build: plain(build(spark, sf_dir)) for name, build in QUERIES.items()
+    }
