@@ -58,7 +58,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
 def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, int]:
     """Write independent tables side by side below ``folder``; returns their row counts."""
     jobs: dict[str, Callable[[], int]] = {
-        name: inheritable_thread_target(lambda df=df, name=name: write_table(df, f"{folder}/{name}", fmt))
+        name: inheritable_thread_target(df.sparkSession)(
+            lambda df=df, name=name: write_table(df, f"{folder}/{name}", fmt)
+        )
         for name, df in tables.items()
     }
     with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
