@@ -346,6 +346,65 @@ STATEMENTS: dict[str, str] = {
     ),
 }
 
+SPENT = "is_points_payment AND points_used > 0 AND card_id <> ''"
+STATEMENTS["x_redemption_events"] = f"""SELECT payment_id, card_id, order_id, payment_datetime AS event_datetime, 'redeem' AS event_type,
+  {money('-points_used')} AS points_delta, 'computed_redemption' AS ledger_source
+  FROM fact_payments p WHERE {SPENT} AND is_successful_payment AND NOT EXISTS (
+    SELECT 1 FROM stg_card_points_ledger l WHERE l.event_type = 'redeem' AND l.order_id = p.order_id AND l.card_id = p.card_id)"""
+STATEMENTS["x_balance_at_payment"] = f"""SELECT p.payment_id, any_value(p.card_id) AS card_id, any_value(p.order_id) AS order_id,
+  any_value(p.payment_datetime) AS payment_datetime, {money('any_value(p.points_used)')} AS points_used,
+  {money('coalesce(SUM(l.points_delta), 0)')} AS points_balance
+  FROM (SELECT * FROM fact_payments WHERE {SPENT}) p LEFT JOIN stg_card_points_ledger l
+  ON l.card_id = p.card_id AND (p.payment_datetime IS NULL OR l.event_datetime <= p.payment_datetime) GROUP BY p.payment_id"""
+STATEMENTS["x_customer_scd2"] = f"""SELECT customer_id, segment, _ingest_seq AS valid_from,
+  lead(_ingest_seq) OVER (PARTITION BY customer_id ORDER BY _ingest_seq) AS valid_to,
+  lead(_ingest_seq) OVER (PARTITION BY customer_id ORDER BY _ingest_seq) IS NULL AS is_current
+  FROM (SELECT *, lag(segment) OVER w AS before, row_number() OVER w AS n FROM ({TYPED_CUSTOMERS}) WHERE customer_id IS NOT NULL
+    WINDOW w AS (PARTITION BY customer_id ORDER BY _ingest_seq)) WHERE n = 1 OR segment IS DISTINCT FROM before"""
+STATEMENTS["x_incremental_orders"] = "SELECT * FROM stg_orders_master"
+
+KINDS = {
+    "id": ident,
+    "amount": number,
+    "quantity": lambda c: number(c, "DECIMAL(12,3)"),
+    "price": lambda c: f"TRY_CAST(regexp_replace({cell(c)}, ' CHF', '', 'gi') AS DECIMAL(14,4))",
+    "percent": lambda c: number(c, "DECIMAL(9,4)"),
+    "datetime": moment,
+    "boolean": lambda c: f"CASE WHEN {lower(c)} IN ('true', 'false') THEN 1 END",
+}
+# (table, required columns, column kinds, allowed values)
+RULES = (
+    ("customers", "customer_id", "customer_id:id signup_date:datetime", {}),
+    ("customer_cards", "card_id customer_id", "customer_id:id card_created_at:datetime",
+        {"card_status": "'active', 'inactive', 'blocked'"}),
+    ("products", "product_id", "standard_price:amount is_active:boolean", {}),
+    ("orders_master", "order_id customer_id", "order_id:id customer_id:id order_date:datetime", {}),
+    ("order_details", "order_id line_id", "order_id:id line_id:id quantity:quantity unit_price:price discount_pct:percent", {}),
+    ("payments", "payment_id order_id",
+        "payment_id:id order_id:id payment_datetime:datetime payment_amount:amount points_used:amount",
+        {"payment_type": "'card', 'cash', 'installment', 'loyalty_card', 'points', 'refund'",
+         "payment_status": "'success', 'failed', 'pending', 'refunded'"}),
+    ("points_thresholds", "threshold_id min_amount points_awarded",
+        "threshold_id:id min_amount:amount max_amount:amount points_awarded:amount", {}),
+    ("card_points_ledger", "card_id", "order_id:id event_datetime:datetime points_delta:amount", {}),
+)
+
+
+def rule_counts() -> list[str]:
+    violated = []
+    for table, required, kinds, allowed in RULES:
+        violated += [(table, c, "missing", f"{cell(c)} IS NULL") for c in required.split()]
+        for column, kind in (pair.split(":") for pair in kinds.split()):
+            violated.append((table, column, "unreadable", f"{cell(column)} IS NOT NULL AND {KINDS[kind](column)} IS NULL"))
+        violated += [(table, c, "unexpected", f"{cell(c)} IS NOT NULL AND {lower(c)} NOT IN ({v})") for c, v in allowed.items()]
+    return [
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, COUNT(*) AS failed_count FROM {table}_raw WHERE {condition}"
+        for table, column, rule, condition in violated
+    ]
+
+
+STATEMENTS["x_schema_violations"] = "\nUNION ALL ".join(rule_counts())
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_tables(statement) for name, statement in STATEMENTS.items()}

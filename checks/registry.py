@@ -20,10 +20,12 @@ from ledgerloom.functions import (
     whole_number,
 )
 from ledgerloom.operators import dedup_exact, dedup_latest, require_keys, tier_lookup
-from ledgerloom.plans import analytics, loyalty, marts, quality, staging
+from ledgerloom.plans import analytics, contract, history, loyalty, marts, quality, redemption, staging
 from ledgerloom.plans.run import run_layers, run_summary, write_facts, write_layer, write_staging
 from ledgerloom.schema import PERCENT, PRICE, QUANTITY, RAW_COLUMNS
 from ledgerloom.sources import read_raw_csv, work_folder, write_table
+from ledgerloom.sources.tables import CSV_OPTIONS
+from ledgerloom.streaming import current_table, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,6 +276,39 @@ def query_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(spark, run_layers(spark, raw_tables(spark, sf_dir), work_folder(spark, "run")))
 
 
+# Extensions
+
+
+def redemption_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg, _ = _inputs(spark, sf_dir, "payments", "card_points_ledger")
+    return redemption.redemption_events(marts.fact_payments(stg["stg_payments"]), stg["stg_card_points_ledger"])
+
+
+def balance_at_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg, _ = _inputs(spark, sf_dir, "payments", "card_points_ledger")
+    payments = marts.fact_payments(stg["stg_payments"])
+    return redemption.balance_at_payment(payments, stg["stg_card_points_ledger"], work_folder(spark, "balance"))
+
+
+def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.customer_segment_history(_raw(spark, sf_dir, "customers"), work_folder(spark, "history"))
+
+
+def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.validate_raw(raw_tables(spark, sf_dir))
+
+
+def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arrive in two drops, first sent and re-sent; each drop is ingested as it lands."""
+    folder = work_folder(spark, "incremental")
+    cells = raw_cells(spark, sf_dir, "orders_master")["orders_master"]
+    resent = F.col("_ingest_seq") >= 100000000
+    for drop in (cells.where(~resent), cells.where(resent)):
+        drop.select(*RAW_COLUMNS["orders_master"]).write.options(**CSV_OPTIONS).mode("append").csv(f"{folder}/drops")
+        ingest_new_files(spark, f"{folder}/drops", "orders_master", f"{folder}/state")
+    return current_table(spark, "orders_master", f"{folder}/state")
+
+
 QUERIES: dict[str, Query] = {
     "raw_scan": raw_scan,
     "norm_numeric": norm_numeric,
@@ -312,6 +347,11 @@ QUERIES: dict[str, Query] = {
     "data_quality_report": data_quality_report,
     **{f"dq_{name}": quality_check(name) for name in quality.CHECKS},
     "run_summary": query_run_summary,
+    "x_redemption_events": redemption_events,
+    "x_balance_at_payment": balance_at_payment,
+    "x_customer_scd2": customer_history,
+    "x_schema_violations": schema_violations,
+    "x_incremental_orders": incremental_orders,
 }
 
 

@@ -3,6 +3,7 @@
 from ledgerloom.operators.dedup import dedup_exact, dedup_latest
 from ledgerloom.operators.keys import duplicate_rows, fk_violations, require_keys, require_text
 from ledgerloom.operators.latest import latest_value
+from ledgerloom.operators.ordered import running_total, value_spans
 from ledgerloom.operators.skew import frequent_keys, spread_join
 from ledgerloom.operators.tiers import tier_lookup
 
@@ -15,6 +16,8 @@ __all__ = [
     "latest_value",
     "require_keys",
     "require_text",
+    "running_total",
     "spread_join",
     "tier_lookup",
+    "value_spans",
 ]

@@ -40,8 +40,9 @@ def spread_join(
     frequent: DataFrame,
     spread_by: Sequence[str],
     how: str = "left",
+    also_on: Sequence[str] = (),
 ) -> DataFrame:
-    """Join ``facts`` to ``lookup`` on ``key``, splitting the facts of frequent keys.
+    """Join ``facts`` to ``lookup`` on ``key`` (and ``also_on``), splitting the facts of frequent keys.
 
     A frequent key's facts go to ``_fan`` buckets and its lookup rows are repeated once per
     bucket; all other keys use bucket 0. The bucket is a hash of ``spread_by`` and the input
@@ -60,4 +61,4 @@ def spread_join(
         .withColumn("_bucket", F.explode(F.sequence(F.lit(0), last_bucket)))
         .drop("_fan")
     )
-    return spread.join(repeated, [key, "_bucket"], how).drop("_bucket")
+    return spread.join(repeated, [key, *also_on, "_bucket"], how).drop("_bucket")

@@ -1 +1,5 @@
 """Incremental processing with Structured Streaming."""
+
+from ledgerloom.streaming.incremental import changed_keys, current_table, ingest_new_files, restrict_to_orders
+
+__all__ = ["changed_keys", "current_table", "ingest_new_files", "restrict_to_orders"]
