@@ -32,11 +32,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles by way of four exact decimals, the form both engines can be compared in."""
-    return df.select(
+    return df.selectExpr(
         *(
-            F.col(f.name).cast("decimal(18,4)").cast("double").alias(f.name)
+            f"CAST(CAST(`{f.name}` AS DECIMAL(18,4)) AS DOUBLE) AS `{f.name}`"
             if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in df.schema.fields
         )
     )
@@ -59,44 +59,44 @@ def _raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def norm_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "order_details").select(
-        whole_number(F.col("order_id")).alias("order_id"),
-        amount_value(F.col("quantity"), QUANTITY).alias("quantity"),
-        amount_value(F.col("discount_pct"), PERCENT).alias("discount_pct"),
+        whole_number("order_id").alias("order_id"),
+        amount_value("quantity", QUANTITY).alias("quantity"),
+        amount_value("discount_pct", PERCENT).alias("discount_pct"),
     )
 
 
 def norm_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "orders_master").select(
-        "order_id", datetime_value(F.col("order_date")).alias("order_date")
+        "order_id", datetime_value("order_date").alias("order_date")
     )
 
 
 def norm_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "orders_master").select(
         "_ingest_seq",
-        lower_text(F.col("order_status")).alias("order_status"),
-        lower_text(F.col("sales_channel")).alias("sales_channel"),
+        lower_text("order_status").alias("order_status"),
+        lower_text("sales_channel").alias("sales_channel"),
     )
 
 
 def norm_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir, "payments").select("_ingest_seq", upper_text(F.col("card_id")).alias("card_id"))
+    return _raw(spark, sf_dir, "payments").select("_ingest_seq", upper_text("card_id").alias("card_id"))
 
 
 def norm_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    countries = _raw(spark, sf_dir, "customers").select("_ingest_seq", title_text(F.col("country")).alias("country"))
-    return countries.unionAll(_raw(spark, sf_dir, "products").select("_ingest_seq", title_text(F.col("category"))))
+    countries = _raw(spark, sf_dir, "customers").select("_ingest_seq", title_text("country").alias("country"))
+    return countries.unionAll(_raw(spark, sf_dir, "products").select("_ingest_seq", title_text("category")))
 
 
 def norm_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "customers").select(
-        "_ingest_seq", strip_text(F.col("customer_name")).alias("customer_name")
+        "_ingest_seq", strip_text("customer_name").alias("customer_name")
     )
 
 
 def norm_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "order_details").select(
-        F.col("unit_price").alias("raw_price"), price_value(F.col("unit_price"), PRICE).alias("unit_price")
+        F.col("unit_price").alias("raw_price"), price_value("unit_price", PRICE).alias("unit_price")
     )
 
 

@@ -1,4 +1,4 @@
-"""Date and time coercion."""
+"""Date and time coercion of a named column."""
 
 from __future__ import annotations
 
@@ -8,13 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def datetime_value(col: Column, formats: Sequence[str] = ()) -> Column:
+def datetime_value(name: str, formats: Sequence[str] = ()) -> Column:
     """Zone-free timestamp of a text cell, NULL when it does not parse.
 
     Without ``formats`` the ISO forms are read. With ``formats`` the first one that fits wins.
     TIMESTAMP_NTZ keeps the result independent of the session time zone.
     """
     if not formats:
-        return col.try_cast("timestamp_ntz")
-    parsed = [F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
+        return F.expr(f"try_cast(`{name}` AS timestamp_ntz)")
+    parsed = [F.try_to_timestamp(F.col(name), F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(*parsed)

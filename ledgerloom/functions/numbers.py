@@ -1,4 +1,4 @@
-"""Number coercion and rounding. Text that is not a number becomes NULL."""
+"""Number coercion of a named column, and rounding. Text that is not a number becomes NULL."""
 
 from __future__ import annotations
 
@@ -8,30 +8,30 @@ from pyspark.sql import functions as F
 from ledgerloom.schema import AMOUNT, CURRENCY_SUFFIX
 
 
-def amount_value(col: Column, decimal_type: str = AMOUNT) -> Column:
+def amount_value(name: str, decimal_type: str = AMOUNT) -> Column:
     """Exact decimal of a text cell. Decimal parsing already rejects ``1d``, ``0x10``, ``inf``, ``1,000``."""
-    return col.try_cast(decimal_type)
+    return F.expr(f"try_cast(`{name}` AS {decimal_type})")
 
 
-def whole_number(col: Column) -> Column:
+def whole_number(name: str) -> Column:
     """Id of a text cell: ``'12'`` and ``'12.0'`` give 12; a fractional or malformed id gives NULL.
 
     Plain digits take the first branch. Cells with a point skip it, because a failing integer
     cast raises and catches an exception per row, which is far dearer than the decimal parse.
     """
-    wide = col.try_cast("decimal(38,6)")
-    return F.coalesce(
-        F.when(~F.contains(col, F.lit(".")), col.try_cast("bigint")),
-        F.when(wide == F.floor(wide), F.floor(wide).try_cast("bigint")),
+    wide = f"try_cast(`{name}` AS decimal(38,6))"
+    return F.expr(
+        f"coalesce(CASE WHEN NOT contains(`{name}`, '.') THEN try_cast(`{name}` AS bigint) END, "
+        f"CASE WHEN {wide} = floor({wide}) THEN try_cast(floor({wide}) AS bigint) END)"
     )
 
 
-def price_value(col: Column, decimal_type: str) -> Column:
+def price_value(name: str, decimal_type: str) -> Column:
     """Price after removing each currency suffix, whatever its casing.
 
     Upper-casing first makes this a literal replacement; casing never matters to a number.
     """
-    return amount_value(F.replace(F.upper(col), F.lit(CURRENCY_SUFFIX), F.lit("")), decimal_type)
+    return F.expr(f"try_cast(replace(upper(`{name}`), '{CURRENCY_SUFFIX}', '') AS {decimal_type})")
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:

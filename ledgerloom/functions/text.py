@@ -1,4 +1,4 @@
-"""Text normalisation."""
+"""Text normalisation of a named column. SQL text keeps one driver call per expression."""
 
 from __future__ import annotations
 
@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ledgerloom.schema import NULL_TOKENS, WHITESPACE
 
 
+def _stripped(name: str) -> str:
+    return f"trim(BOTH '{WHITESPACE}' FROM `{name}`)"
+
+
 def null_tokens(name: str) -> Column:
     """Column ``name`` as text, NULL where it spells a missing value (``''``, ``NA``, ``null``, ...)."""
     tokens = ", ".join(f"'{token}'" for token in NULL_TOKENS)
@@ -15,27 +19,25 @@ def null_tokens(name: str) -> Column:
     return F.expr(f"CASE WHEN {cell} NOT IN ({tokens}) THEN {cell} END").alias(name)
 
 
-def strip_text(col: Column) -> Column:
+def strip_text(name: str) -> Column:
     """Drop leading and trailing whitespace of every kind; plain ``trim`` drops only spaces."""
-    return F.trim(col, F.lit(WHITESPACE))
+    return F.expr(_stripped(name))
 
 
-def lower_text(col: Column) -> Column:
-    return F.lower(strip_text(col))
+def lower_text(name: str) -> Column:
+    return F.expr(f"lower({_stripped(name)})")
 
 
-def upper_text(col: Column) -> Column:
-    return F.upper(strip_text(col))
+def upper_text(name: str) -> Column:
+    return F.expr(f"upper({_stripped(name)})")
 
 
-def title_text(col: Column) -> Column:
+def title_text(name: str) -> Column:
     """Capitalise after every non-letter (``O'Neil``), where ``initcap`` looks at spaces only."""
-    runs = F.regexp_extract_all(F.lower(strip_text(col)), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    words = F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2))))
-    return F.array_join(words, "")
+    runs = rf"regexp_extract_all(lower({_stripped(name)}), r'(\p{{L}}+|\P{{L}}+)', 1)"
+    return F.expr(f"array_join(transform({runs}, run -> concat(upper(left(run, 1)), substr(run, 2))), '')")
 
 
-def boolean_value(col: Column) -> Column:
+def boolean_value(name: str) -> Column:
     """``true``/``false`` in any casing; anything else is NULL."""
-    text = lower_text(col)
-    return F.when(text == "true", True).when(text == "false", False)
+    return F.expr(f"CASE lower({_stripped(name)}) WHEN 'true' THEN true WHEN 'false' THEN false END")

@@ -13,9 +13,9 @@ from ledgerloom.schema import PERCENT, PRICE, QUANTITY
 READERS = {
     "id": whole_number,
     "amount": amount_value,
-    "quantity": lambda c: amount_value(c, QUANTITY),
-    "price": lambda c: price_value(c, PRICE),
-    "percent": lambda c: amount_value(c, PERCENT),
+    "quantity": lambda name: amount_value(name, QUANTITY),
+    "price": lambda name: price_value(name, PRICE),
+    "percent": lambda name: amount_value(name, PERCENT),
     "datetime": datetime_value,
     "boolean": boolean_value,
 }
@@ -63,11 +63,11 @@ def table_rules(table: str) -> list[tuple[str, str, Column]]:
     """``(column, rule, is violated)`` for every rule of a raw table."""
     rules = [(name, "missing", F.col(name).isNull()) for name in REQUIRED[table]]
     rules += [
-        (name, "unreadable", F.col(name).isNotNull() & READERS[kind](F.col(name)).isNull())
+        (name, "unreadable", F.col(name).isNotNull() & READERS[kind](name).isNull())
         for name, kind in COLUMN_KINDS[table].items()
     ]
     rules += [
-        (name, "unexpected", F.col(name).isNotNull() & ~lower_text(F.col(name)).isin(*values))
+        (name, "unexpected", F.col(name).isNotNull() & ~lower_text(name).isin(*values))
         for name, values in ALLOWED.get(table, {}).items()
     ]
     return rules

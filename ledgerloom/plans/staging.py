@@ -28,21 +28,21 @@ from ledgerloom.schema import AMOUNT, INGEST_ORDINAL, PERCENT, POINTS, PRICE, QU
 
 
 def _blank_filled(name: str):
-    return F.coalesce(upper_text(F.col(name)), F.lit("")).alias(name)
+    return F.coalesce(upper_text(name), F.lit("")).alias(name)
 
 
 def _zero_filled(name: str, decimal_type: str):
-    return F.coalesce(amount_value(F.col(name), decimal_type), F.lit(0).cast(decimal_type)).alias(name)
+    return F.coalesce(amount_value(name, decimal_type), F.lit(0).cast(decimal_type)).alias(name)
 
 
 def typed_orders(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataFrame:
     return raw.select(
-        whole_number(F.col("order_id")).alias("order_id"),
-        whole_number(F.col("customer_id")).alias("customer_id"),
-        datetime_value(F.col("order_date"), datetime_formats).alias("order_date"),
-        lower_text(F.col("order_status")).alias("order_status"),
-        lower_text(F.col("sales_channel")).alias("sales_channel"),
-        upper_text(F.col("currency")).alias("currency"),
+        whole_number("order_id").alias("order_id"),
+        whole_number("customer_id").alias("customer_id"),
+        datetime_value("order_date", datetime_formats).alias("order_date"),
+        lower_text("order_status").alias("order_status"),
+        lower_text("sales_channel").alias("sales_channel"),
+        upper_text("currency").alias("currency"),
         INGEST_ORDINAL,
     )
 
@@ -53,13 +53,13 @@ def stg_orders_master(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> D
 
 
 def typed_order_details(raw: DataFrame) -> DataFrame:
-    quantity = amount_value(F.col("quantity"), QUANTITY)
+    quantity = amount_value("quantity", QUANTITY)
     return raw.select(
-        whole_number(F.col("order_id")).alias("order_id"),
-        whole_number(F.col("line_id")).alias("line_id"),
+        whole_number("order_id").alias("order_id"),
+        whole_number("line_id").alias("line_id"),
         _blank_filled("product_id"),
         F.coalesce(quantity, F.lit(1).cast(QUANTITY)).alias("quantity"),
-        price_value(F.col("unit_price"), PRICE).alias("unit_price"),
+        price_value("unit_price", PRICE).alias("unit_price"),
         _zero_filled("discount_pct", PERCENT),
     )
 
@@ -72,11 +72,11 @@ def stg_order_details(raw: DataFrame) -> DataFrame:
 
 def typed_payments(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataFrame:
     return raw.select(
-        whole_number(F.col("payment_id")).alias("payment_id"),
-        whole_number(F.col("order_id")).alias("order_id"),
-        datetime_value(F.col("payment_datetime"), datetime_formats).alias("payment_datetime"),
-        lower_text(F.col("payment_type")).alias("payment_type"),
-        lower_text(F.col("payment_status")).alias("payment_status"),
+        whole_number("payment_id").alias("payment_id"),
+        whole_number("order_id").alias("order_id"),
+        datetime_value("payment_datetime", datetime_formats).alias("payment_datetime"),
+        lower_text("payment_type").alias("payment_type"),
+        lower_text("payment_status").alias("payment_status"),
         _zero_filled("payment_amount", AMOUNT),
         _blank_filled("card_id"),
         _zero_filled("points_used", POINTS),
@@ -91,11 +91,11 @@ def stg_payments(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataFr
 
 def typed_customers(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataFrame:
     return raw.select(
-        whole_number(F.col("customer_id")).alias("customer_id"),
-        strip_text(F.col("customer_name")).alias("customer_name"),
-        upper_text(F.col("segment")).alias("segment"),
-        title_text(F.col("country")).alias("country"),
-        datetime_value(F.col("signup_date"), datetime_formats).alias("signup_date"),
+        whole_number("customer_id").alias("customer_id"),
+        strip_text("customer_name").alias("customer_name"),
+        upper_text("segment").alias("segment"),
+        title_text("country").alias("country"),
+        datetime_value("signup_date", datetime_formats).alias("signup_date"),
         "email",
         INGEST_ORDINAL,
     )
@@ -108,9 +108,9 @@ def stg_customers(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataF
 def typed_customer_cards(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         _blank_filled("card_id"),
-        whole_number(F.col("customer_id")).alias("customer_id"),
-        datetime_value(F.col("card_created_at"), datetime_formats).alias("card_created_at"),
-        lower_text(F.col("card_status")).alias("card_status"),
+        whole_number("customer_id").alias("customer_id"),
+        datetime_value("card_created_at", datetime_formats).alias("card_created_at"),
+        lower_text("card_status").alias("card_status"),
         INGEST_ORDINAL,
     )
 
@@ -123,10 +123,10 @@ def stg_customer_cards(raw: DataFrame, datetime_formats: Sequence[str] = ()) ->
 def typed_products(raw: DataFrame) -> DataFrame:
     return raw.select(
         _blank_filled("product_id"),
-        strip_text(F.col("product_name")).alias("product_name"),
-        title_text(F.col("category")).alias("category"),
-        amount_value(F.col("standard_price"), PRICE).alias("standard_price"),
-        boolean_value(F.col("is_active")).alias("is_active"),
+        strip_text("product_name").alias("product_name"),
+        title_text("category").alias("category"),
+        amount_value("standard_price", PRICE).alias("standard_price"),
+        boolean_value("is_active").alias("is_active"),
         INGEST_ORDINAL,
     )
 
@@ -138,23 +138,23 @@ def stg_products(raw: DataFrame) -> DataFrame:
 def stg_points_thresholds(raw: DataFrame) -> DataFrame:
     """Tiers are not deduplicated; a missing upper bound means the tier is open."""
     tiers = raw.select(
-        whole_number(F.col("threshold_id")).alias("threshold_id"),
-        amount_value(F.col("min_amount")).alias("min_amount"),
-        amount_value(F.col("max_amount")).alias("max_amount"),
-        amount_value(F.col("points_awarded"), POINTS).alias("points_awarded"),
+        whole_number("threshold_id").alias("threshold_id"),
+        amount_value("min_amount").alias("min_amount"),
+        amount_value("max_amount").alias("max_amount"),
+        amount_value("points_awarded", POINTS).alias("points_awarded"),
     )
     return require_keys(tiers, "threshold_id", "min_amount", "points_awarded")
 
 
 def stg_card_points_ledger(raw: DataFrame, datetime_formats: Sequence[str] = ()) -> DataFrame:
     """Ledger events are not deduplicated. An owner carried by the raw ledger is kept."""
-    owner = [whole_number(F.col("customer_id")).alias("customer_id")] if "customer_id" in raw.columns else []
+    owner = [whole_number("customer_id").alias("customer_id")] if "customer_id" in raw.columns else []
     events = raw.select(
         "ledger_id",
         _blank_filled("card_id"),
-        whole_number(F.col("order_id")).alias("order_id"),
-        datetime_value(F.col("event_datetime"), datetime_formats).alias("event_datetime"),
-        lower_text(F.col("event_type")).alias("event_type"),
+        whole_number("order_id").alias("order_id"),
+        datetime_value("event_datetime", datetime_formats).alias("event_datetime"),
+        lower_text("event_type").alias("event_type"),
         _zero_filled("points_delta", POINTS),
         *owner,
     )

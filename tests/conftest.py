@@ -30,11 +30,9 @@ def spark(tmp_path_factory):
 
 
 def column(spark, expression, cells):
-    """Evaluate a one-column expression builder over text cells, in order."""
-    from pyspark.sql import functions as F
-
+    """Evaluate an expression builder over text cells in a column named ``c``, in order."""
     rows = spark.createDataFrame(list(enumerate(cells)), "i int, c string")
-    return [r.v for r in rows.select("i", expression(F.col("c")).alias("v")).orderBy("i").collect()]
+    return [r.v for r in rows.select("i", expression("c").alias("v")).orderBy("i").collect()]
 
 
 def raw_frame(spark, table, rows):

@@ -81,7 +81,7 @@ def test_datetimes_ignore_the_session_time_zone(spark):
 
 def test_null_tokens_are_exact(spark):
     cells = [*NULL_TOKENS, " NA", "nil", "0"]
-    assert column(spark, lambda _: fn.null_tokens("c"), cells) == [None] * len(NULL_TOKENS) + [" NA", "nil", "0"]
+    assert column(spark, fn.null_tokens, cells) == [None] * len(NULL_TOKENS) + [" NA", "nil", "0"]
 
 
 def test_booleans(spark):
