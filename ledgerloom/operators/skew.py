@@ -9,27 +9,34 @@ from pyspark.sql import functions as F
 
 # At most this many keys are ever called frequent, so the list is always safe to broadcast.
 MAX_FREQUENT_KEYS = 256
-# Size of the frequent-items sketch; it finds every key above roughly 0.1 % of the rows.
+# Size of the frequent-items sketch; it finds every key above roughly 0.1 % of its rows.
 SKETCH_ITEMS = 4096
+# Scan tasks are sketched in this many groups, so no single task merges the sketches of all of them.
+SKETCH_GROUPS = 256
 
 
 def frequent_keys(df: DataFrame, key: str) -> DataFrame:
     """``(key, _fan)`` for keys that hold more than one shuffle partition's share of the rows.
 
-    One mergeable sketch per task, no shuffle of the rows. ``_fan`` is the number of partitions'
-    worth of rows the key has. The list only steers where rows go, never which rows are joined.
+    One sketch per scan task, merged per group of tasks: the rows are not shuffled. ``_fan`` is
+    the number of partitions' worth of rows the key has where it is densest. The list only
+    steers where rows go, never which rows are joined.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = F.expr(f"approx_top_k(`{key}`, {MAX_FREQUENT_KEYS}, {SKETCH_ITEMS})")
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
     return (
         df.where(F.col(key).isNotNull())
+        .groupBy(group.alias("_group"))
         .agg(top.alias("top"), F.count(F.lit(1)).alias("rows"))
         .select("rows", F.inline("top"))
-        .select(
-            F.col("item").alias(key),
-            F.ceil(F.col("count") * F.lit(partitions) / F.col("rows")).cast("int").alias("_fan"),
-        )
-        .where("_fan > 1")
+        .select(F.col("item").alias(key), (F.col("count") * F.lit(partitions) / F.col("rows")).alias("_share"))
+        .where("_share > 1")
+        .groupBy(key)
+        .agg(F.ceil(F.max("_share")).cast("int").alias("_fan"), F.sum("_share").alias("_weight"))
+        .orderBy(F.desc("_weight"))
+        .limit(MAX_FREQUENT_KEYS)
+        .select(key, "_fan")
     )
 
 

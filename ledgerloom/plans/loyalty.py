@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import spread_join, tier_lookup
+from ledgerloom.plans.staging import stg_points_thresholds
+from ledgerloom.sources import read_raw_csv
 
 LEDGER_COLUMNS = (
     "ledger_id", "card_id", "order_id", "event_datetime", "event_type", "points_delta",
@@ -41,6 +43,16 @@ def computed_earn(
     )
 
 
+def points_for_amounts(
+    rows: DataFrame, amount: str, tiers: DataFrame | None = None, raw_folder: str | None = None
+) -> DataFrame:
+    """Add ``points_delta`` for ``amount``; without ``tiers`` the raw thresholds of ``raw_folder`` are read."""
+    if tiers is None:
+        raw = read_raw_csv(rows.sparkSession, f"{raw_folder}/points_thresholds.csv", "points_thresholds")
+        tiers = stg_points_thresholds(raw)
+    return tier_lookup(rows, amount, tiers)
+
+
 def raw_events(ledger: DataFrame, cards: DataFrame, frequent_cards: DataFrame) -> DataFrame:
     """Raw ledger events with the card's owner and status; events of unknown cards are kept."""
     owners = cards.select("card_id", F.col("customer_id").alias("_owner"), "card_status")

@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their SQL in DuckDB and compare rows.
 
-Usage: python -m checks.compare [SF_DIR] [QUERY ...]
+Usage: python -m ledgerloom_checks.compare [SF_DIR] [QUERY ...]
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import oracle, registry
+from ledgerloom_checks import oracle, registry
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from checks.raw_inputs import RAW_SQL, SOURCE_TABLES
+from ledgerloom_checks.raw_inputs import RAW_SQL, SOURCE_TABLES
 
 # Raw cells that mean "missing".
 TOKENS = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.raw_inputs import raw_cells, raw_tables
+from ledgerloom_checks.raw_inputs import raw_cells, raw_tables
 from ledgerloom.functions import (
     amount_value,
     datetime_value,

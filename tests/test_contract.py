@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as contract
-from checks.compare import compare, duck_tables
+from ledgerloom_checks.compare import compare, duck_tables
 
 QUERIES = contract.queries()
 SQL = contract.oracle_sql()

@@ -124,7 +124,7 @@ def test_incremental_ingest_reads_new_files_only_and_keeps_the_last_row(spark, t
 
 
 def test_affected_orders_rebuild_like_the_whole_table(spark):
-    from checks.raw_inputs import raw_tables
+    from ledgerloom_checks.raw_inputs import raw_tables
     from conftest import SMALL
 
     stg = build_staging(raw_tables(spark, SMALL, "orders_master", "order_details", "payments", "customers"))

@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL, raw_frame
 from pyspark.sql import functions as F
 
-from checks.raw_inputs import raw_tables
+from ledgerloom_checks.raw_inputs import raw_tables
 from ledgerloom.plans import analytics, loyalty, marts, quality, staging
 from ledgerloom.plans.staging import build_staging
 

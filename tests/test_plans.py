@@ -7,8 +7,8 @@ import re
 import pytest
 from conftest import SMALL, plan_text
 
-from checks import registry
-from checks.raw_inputs import raw_tables
+from ledgerloom_checks import registry
+from ledgerloom_checks.raw_inputs import raw_tables
 from ledgerloom.plans import marts
 from ledgerloom.plans.run import write_staging
 from ledgerloom.sources import work_folder

@@ -6,8 +6,9 @@ import pytest
 from conftest import SMALL, raw_frame
 from pyspark.sql import functions as F
 
-from checks.raw_inputs import raw_cells, raw_tables
+from ledgerloom_checks.raw_inputs import raw_cells, raw_tables
 from ledgerloom.plans import marts, run_layers, run_summary
+from ledgerloom.plans.loyalty import points_for_amounts
 from ledgerloom.plans.run import run
 from ledgerloom.plans.staging import build_staging
 from ledgerloom.schema import RAW_COLUMNS
@@ -45,6 +46,13 @@ def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     assert row.customer_name == "Ann\nB"
 
 
+def test_tiers_default_to_the_raw_thresholds(spark, tmp_path):
+    text = "threshold_id,min_amount,max_amount,points_awarded\n1,0,49.99,1\n2,50,,3\n"
+    write_text(tmp_path / "points_thresholds.csv", text)
+    rows = spark.sql("SELECT CAST(60 AS DECIMAL(18,4)) AS amount")
+    assert points_for_amounts(rows, "amount", raw_folder=str(tmp_path)).first().points_delta == 3
+
+
 def test_a_missing_column_is_an_error(spark):
     with pytest.raises(ValueError, match="order_status"):
         conform_raw(spark.createDataFrame([("1",)], "order_id string"), "orders_master")
