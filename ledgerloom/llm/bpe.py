@@ -5,8 +5,8 @@ word-end suffix over byte characters, text normalised by NFC, white-space foldin
 one pattern. The path is a parameter; every executor reads the file from its own installation.
 
 Encoding is a map over rows without a shuffle, so a hot source or a group of copies costs nothing special. Words
-repeat, so each task remembers the ids of the words it has met, at most :data:`REMEMBERED_WORDS` at a time; the
-memory of a task does not grow with its rows.
+repeat, so each worker remembers the ids of the words it met last, a bounded number (:data:`REMEMBERED`); its memory
+does not grow with its rows.
 
 Defined results: a null or empty text has no tokens, and its decoded text is empty; repeated rows give repeated
 rows; an empty table gives an empty table of the same schema; other columns of the input are not looked at unless
@@ -17,19 +17,25 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
-REMEMBERED_WORDS = 200_000
+REMEMBERED = 200_000
 
 # The word pattern of the tokenizer file, with its white-space class spelled out.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
+# Separators that Python's split() takes for white space and the tokenizer does not.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+# Characters beyond Latin letters, common punctuation and symbols; and the separators.
+UNSURE = re.compile("[^\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
 
 
 def byte_characters() -> list[str]:
@@ -39,6 +45,27 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+class Remembered(dict):
+    """Results of ``work`` by argument, for the ``most`` to twice ``most`` arguments met last.
+
+    When the table is full it becomes the older one and a new one begins; what is met again moves over.
+    """
+
+    def __init__(self, work: Callable[[str], bytes], most: int = REMEMBERED):
+        super().__init__()
+        self.work, self.most, self.older = work, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.work(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Vocabulary:
     """Ids, merge ranks and special strings of one tokenizer file."""
 
@@ -50,71 +77,82 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
-        # (left id, right id) -> (rank, id of the merged symbol)
-        self.merges = {
-            (self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(map(tuple, model["merges"]))
-        }
+        self.shift = max(self.strings).bit_length()
+        # Two neighbouring ids, packed into one number -> rank; rank -> id of the merged symbol.
+        self.ranks: dict[int, int] = {}
+        self.merged: list[int] = []
+        for rank, (left, right) in enumerate(model["merges"]):
+            self.ranks[self.ids[left] << self.shift | self.ids[right]] = rank
+            self.merged.append(self.ids[left + right])
         self.byte_character = byte_characters()
         self.words = regex.compile(WORDS)
         specials = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self._known: dict[str, bytes] = {}
+        self.library = Tokenizer.from_file(path)
+        self.by_characters = Remembered(self.symbols_ids)
+        self.by_piece = Remembered(self.piece_ids)
 
-    def merge(self, symbols: Sequence[int]) -> list[int]:
+    def merge(self, symbols: list[int]) -> list[int]:
         """Apply the lowest-ranked merge, leftmost first, until none applies.
 
-        The symbols form a doubly linked list (``before``/``after``); the queue holds candidate pairs as they
-        arise. An entry whose symbols have been merged away since is stale and skipped when it is taken.
+        The symbols form a doubly linked list (``before``/``after``); the queue holds rank and place of candidate
+        pairs as they arise. An entry whose pair has changed since is stale and skipped when it is taken.
         """
-        at = list(symbols)
-        n = len(at)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: int, j: int) -> None:
-            found = self.merges.get((at[i], at[j]))
-            if found:
-                heapq.heappush(queue, (found[0], i, at[i], at[j], found[1]))
-
+        n, shift, rank_of, push = len(symbols), self.shift, self.ranks.get, heapq.heappush
+        at = [*symbols, 0]
+        before, after = list(range(-1, n)), list(range(1, n + 2))
+        place_bits = n.bit_length()
+        place = (1 << place_bits) - 1
+        queue = []
         for i in range(n - 1):
-            offer(i, i + 1)
+            rank = rank_of(at[i] << shift | at[i + 1])
+            if rank is not None:
+                queue.append(rank << place_bits | i)
+        heapq.heapify(queue)
         while queue:
-            _, i, left, right, merged = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i = entry & place
             j = after[i]
-            if at[i] != left or j < 0 or at[j] != right:
+            # A merged-away symbol is -1, which makes a pair that has no rank.
+            if j >= n or rank_of(at[i] << shift | at[j]) != entry >> place_bits:
                 continue
-            at[i], at[j] = merged, -1
-            after[i] = after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-                offer(i, after[i])
-            if before[i] >= 0:
-                offer(before[i], i)
-        return [s for s in at if s >= 0]
-
-    def word_ids(self, word: str) -> bytes:
-        """Ids of one word as little-endian unsigned 32-bit integers."""
-        known = self._known.get(word)
-        if known is None:
-            characters = [self.byte_character[b] for b in word.encode()]
-            characters[-1] += self.suffix
-            known = array("I", self.merge([self.ids[c] for c in characters])).tobytes()
-            if len(self._known) >= REMEMBERED_WORDS:
-                self._known.clear()
-            self._known[word] = known
-        return known
+            symbol = at[i] = self.merged[entry >> place_bits]
+            at[j] = -1
+            k = after[i] = after[j]
+            before[k] = i
+            if k < n:
+                rank = rank_of(symbol << shift | at[k])
+                if rank is not None:
+                    push(queue, rank << place_bits | i)
+            h = before[i]
+            if h >= 0:
+                rank = rank_of(at[h] << shift | symbol)
+                if rank is not None:
+                    push(queue, rank << place_bits | h)
+        return [s for s in at[:n] if s >= 0]
+
+    def symbols_ids(self, characters: str) -> bytes:
+        """Ids of one word, given as byte characters, as little-endian unsigned 32-bit integers."""
+        symbols = [*characters[:-1], characters[-1] + self.suffix]
+        return array("I", self.merge([self.ids[s] for s in symbols])).tobytes()
+
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a normalised piece of text between white space: one word or a few."""
+        character = self.byte_character
+        words = ("".join([character[b] for b in w.encode()]) for w in self.words.findall(piece))
+        return b"".join(map(self.by_characters.__getitem__, words))
 
     def _plain(self, text: str) -> Iterable[bytes]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            # The final-sigma rule looks at neighbours; the tokenizer lowers each character alone.
-            text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        else:
-            text = text.lower()
-        return map(self.word_ids, self.words.findall(text))
+        if text.isascii() and not SEPARATORS.search(text):
+            return map(self.by_piece.__getitem__, text.lower().split())
+        if not UNSURE.search(text):
+            return map(self.by_piece.__getitem__, unicodedata.normalize("NFC", text).lower().split())
+        # Scripts whose tables differ between Unicode versions: the library normalises and cuts into words.
+        cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return map(self.by_characters.__getitem__, (word for word, _ in cut))
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text, packed as :meth:`word_ids` packs them."""
+        """Ids of a whole text, packed as :meth:`symbols_ids` packs them."""
         if self.specials is None or not any(s in text for s in self.special):
             return b"".join(self._plain(text))
         parts, start = [], 0
