@@ -2,6 +2,19 @@
 
 from __future__ import annotations
 
+OP4 = """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), grouped AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM grouped
+"""
+
 OP6 = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -97,4 +110,4 @@ FROM judged
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix": OP6, "op8_chat": OP8, "op10_quality": OP10}
+    return {"op4_warc": OP4, "op6_mix": OP6, "op8_chat": OP8, "op10_quality": OP10}

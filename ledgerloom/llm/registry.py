@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.bpe import encode_texts
 from ledgerloom.llm.cascade import judge_documents
 from ledgerloom.llm.chat import format_conversations, learned_texts, turns_of
+from ledgerloom.llm.html_text import extract_text
 from ledgerloom.llm.mixing import mix_sources
+from ledgerloom.llm.simhash import hexadecimal, near_duplicates
+from ledgerloom.llm.warc import ID, read_archives, with_revisits, write_archives
+from ledgerloom.sources import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    texts = extract_text(pages, keep=["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "warc")
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    write_archives(with_revisits(pages)).write.option("compression", "uncompressed").parquet(folder)
+    records = read_archives(spark.read.parquet(folder), payloads=False)
+
+    def number(urn: str):
+        return F.expr(f"try_cast(substr({urn}, {len(ID) + 1}) AS bigint)")
+
+    return records.select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     encoded = encode_texts(docs, public_tokenizers.path(VOCABULARY), keep=["doc_id"], decoded="decoded")
@@ -66,6 +94,13 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates(docs, words=3, threshold=2).select(
+        "doc_id", hexadecimal("fingerprint").alias("fingerprint"), "component_id"
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
     return judged.drop("text").select(
@@ -81,4 +116,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_bpe, op6_mix, op8_chat, op10_quality)}
+    return {f.__name__: f for f in (op2_html, op4_warc, op5_bpe, op6_mix, op8_chat, op9_simhash, op10_quality)}
