@@ -12,6 +12,7 @@ from ledgerloom.llm.bpe import encode_texts
 from ledgerloom.llm.cascade import judge_documents
 from ledgerloom.llm.chat import format_conversations, learned_texts, turns_of
 from ledgerloom.llm.html_text import extract_text
+from ledgerloom.llm.langid import held_out, identify_languages, learn_languages
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.simhash import hexadecimal, near_duplicates
 from ledgerloom.llm.warc import ID, read_archives, with_revisits, write_archives
@@ -26,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = learn_languages(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labelled = identify_languages(docs, model, keep=["doc_id"])
+    return labelled.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     texts = extract_text(pages, keep=["page_id", "url"])
@@ -116,4 +124,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_html, op4_warc, op5_bpe, op6_mix, op8_chat, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_langid, op2_html, op4_warc, op5_bpe, op6_mix, op8_chat, op9_simhash, op10_quality)}
