@@ -13,6 +13,7 @@ from ledgerloom.llm.cascade import judge_documents
 from ledgerloom.llm.chat import format_conversations, learned_texts, turns_of
 from ledgerloom.llm.html_text import extract_text
 from ledgerloom.llm.langid import held_out, identify_languages, learn_languages
+from ledgerloom.llm.lz import edited_neighbours
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.simhash import hexadecimal, near_duplicates
 from ledgerloom.llm.warc import ID, read_archives, with_revisits, write_archives
@@ -40,6 +41,10 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op3_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_neighbours(table(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("key", "doc_id")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "warc")
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
@@ -124,4 +129,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_langid, op2_html, op4_warc, op5_bpe, op6_mix, op8_chat, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_langid, op2_html, op3_lz, op4_warc, op5_bpe, op6_mix, op8_chat, op9_simhash, op10_quality)}
