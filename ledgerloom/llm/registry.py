@@ -15,6 +15,7 @@ from ledgerloom.llm.html_text import extract_text
 from ledgerloom.llm.langid import held_out, identify_languages, learn_languages
 from ledgerloom.llm.lz import edited_neighbours
 from ledgerloom.llm.mixing import mix_sources
+from ledgerloom.llm.runindex import remove_repeats
 from ledgerloom.llm.simhash import hexadecimal, near_duplicates
 from ledgerloom.llm.warc import ID, read_archives, with_revisits, write_archives
 from ledgerloom.sources import work_folder
@@ -79,6 +80,13 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return remove_repeats(docs, keep=["doc_id"]).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 # The conversation that the contract adds: its texts hold the template's control strings.
 ADDED_TEXT = "\\### Assistant: </turn> ok"
 
@@ -129,4 +137,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_langid, op2_html, op3_lz, op4_warc, op5_bpe, op6_mix, op8_chat, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (op1_langid, op2_html, op3_lz, op4_warc, op5_bpe, op6_mix, op7_runindex, op8_chat, op9_simhash, op10_quality)}
