@@ -1,0 +1,332 @@
+"""Mixing, quality cascade, SimHash, WARC, run-length index and the pipeline: against plain versions and edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import struct
+
+import numpy as np
+import pytest
+import xxhash
+import zstandard
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ledgerloom.llm import cascade, components, mixing, runindex, simhash, warc
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def by_key(rows):
+    return sorted(map(tuple, rows), key=lambda r: tuple((x is None, x) for x in r))
+
+
+# Mixing
+
+
+def plain_targets(sizes, cycle=3, most=3):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weights = {s: i % cycle + 1 for i, s in enumerate(order)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in fixed]
+        left, share = total - sum(fixed.values()), sum(weights[s] for s in free)
+        targets = {s: left * weights[s] / share for s in free}
+        over = [s for s in free if targets[s] > most * sizes[s]]
+        if not over:
+            return targets | fixed
+        fixed |= {s: most * sizes[s] for s in over}
+
+
+def test_mix_meets_every_budget(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 30)), rng.choice(["big"] * 8 + ["é", "tiny", "a", None]), "x") for i in range(400)]
+    rows += [(400, None, "nul", "x"), (401, "one two", "tiny", "x"), (401, "one two", "tiny", "x"), (None, "no id", "a", "x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string, target string")
+    got = mixing.mix_sources(docs).collect()
+    sizes = {}
+    for _, text, source, _ in rows:
+        sizes[source] = sizes.get(source, 0) + len((text or "").split())
+    targets = plain_targets(sizes)
+    taken = dict.fromkeys(sizes, 0)
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source])
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[r.source] += r.taken
+    assert len(got) == len(rows)
+    assert taken == {s: int(targets[s] + 1e-9) for s in sizes}
+    again = mixing.mix_sources(docs.repartition(7)).collect()
+    assert by_key(again) == by_key(got)
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+# Quality
+
+
+def plain_counts(text):
+    words = re.findall(WORD, text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(WORD, x)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_counts_and_order_of_rules(spark):
+    rng = random.Random(9)
+    texts = [None, "", " \t\n", "a b c d e f g h " * 4, "x\ny\nx\n x\n\n\n", "ä#* <b> c"]
+    texts += [" ".join(rng.choices("ab", k=rng.randint(1, 120))) + rng.choice(["\n", ""]) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id int, text string, kept int")
+    rows = cascade.judge_documents(docs).collect()
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    for r in rows:
+        assert tuple(r[n] for n in names) == plain_counts(texts[r.doc_id]), texts[r.doc_id]
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.kept and r.base_failed)
+    rules = [*cascade.BASE_RULES, *cascade.RULES]
+    counted = cascade.text_counts(docs.drop("kept"))
+    turned = counted.withColumn("kept", cascade.passes(rules[::-1])).collect()
+    assert {r.doc_id: r.kept for r in turned} == {r.doc_id: r.kept for r in rows}
+    order = cascade.cascade_order(counted.where("doc_id < 3"), rules)
+    assert {r.name for r in order} == {r.name for r in rules} and order[0].name == "too_short"
+    assert cascade.judge_documents(docs.limit(0)).count() == 0
+    plan = cascade.text_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+# SimHash
+
+
+def plain_components(values, threshold):
+    root = list(range(len(values)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(values):
+        for j in range(i):
+            if (a ^ values[j]).bit_count() <= threshold:
+                a_, b_ = find(i), find(j)
+                root[max(a_, b_)] = min(a_, b_)
+    return [find(i) for i in range(len(values))]
+
+
+def test_every_fingerprint_has_one_home_and_near_ones_meet():
+    rng = np.random.default_rng(3)
+    prints = rng.integers(-(1 << 63), 1 << 63, 200, dtype=np.int64)
+    home = simhash.home_anchor(prints)
+    for excess in (0, 1, 2):
+        flipped = prints.copy()
+        for _ in range(excess):
+            flipped ^= np.int64(1) << rng.integers(0, 63, 200)
+        rows, anchors = simhash.near_anchors(flipped, 2)
+        met = set(zip(rows.tolist(), anchors.tolist(), strict=True))
+        assert len(met) == len(rows)
+        assert all((i, int(h)) in met for i, h in enumerate(home))
+        mine = simhash.home_anchor(flipped)
+        assert all((i, int(h)) in met for i, h in enumerate(mine))
+
+
+@pytest.mark.parametrize(("threshold", "crowded"), [(2, 1000), (2, 1), (2, 5), (1, 1000), (3, 1000)])
+def test_links_equal_all_pairs(spark, threshold, crowded):
+    rng = random.Random(threshold + crowded)
+    values = []
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        for _ in range(20):
+            v = centre
+            for bit in rng.sample(range(64), rng.randint(0, 4)):
+                v ^= 1 << bit
+            values.append(v)
+    values = sorted(set(values + [0, 1, (1 << 64) - 1]))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    prints = spark.createDataFrame([(v,) for v in signed], "fingerprint bigint").repartition(3)
+    links = simhash.link_fingerprints(prints, threshold, crowded)
+    roots = {r.node: r.root for r in components.components(links).collect()}
+    expected = plain_components(values, threshold)
+    groups, names = {}, {}
+    for i, v in enumerate(signed):
+        groups.setdefault(roots.get(v, v), set()).add(v)
+        names.setdefault(expected[i], set()).add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, names.values()))
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.range(300).selectExpr("id AS u", "id + 1 AS v").union(spark.range(1000, 1010).selectExpr("id AS u", "1000 AS v"))
+    roots = {r.node: r.root for r in components.components(links).collect()}
+    assert roots == {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1010)}
+
+
+def test_near_duplicates_and_edge_cases(spark):
+    base = " ".join(f"w{i}" for i in range(3000))
+    texts = [base, base.upper(), base + " more", None, "", "  ", "one two", "ONE two", "quite different words here", base]
+    rows = [(i + 5, t, i) for i, t in enumerate(texts)] + [(None, base, 0), (5, base, 1)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, component_id int")
+    got = simhash.near_duplicates(docs).collect()
+    prints = {}
+    for k, t, _ in rows:
+        words = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        value = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        prints[k] = value - (1 << 64) if value >> 63 else value
+    assert all(r.fingerprint == prints[r.doc_id] for r in got if r.doc_id is not None)
+    names = {r.doc_id: r.component_id for r in got}
+    assert len(got) == len(rows)
+    assert names == {5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 10: 8, 11: 11, 12: 11, 13: 13, 14: 5, None: 5}
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    (row,) = simhash.near_duplicates(docs.where("doc_id = 8").select(F.lit(None).cast("int").alias("doc_id"), "text")).collect()
+    assert row.component_id is None and row.fingerprint == 0
+
+
+# WARC
+
+
+def test_archives_are_read_back(spark, tmp_path):
+    rng = random.Random(3)
+    long = "é" * 700
+    rows = [(1, "http://a/\r\n%", long), (2, None, long), (3, "u", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "")]
+    rows += [(10 + i, f"http://h/{i}", "<p>" + " ".join(rng.choices(["the", "of", "ab", "cd"], k=300))) for i in range(60)]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
+    archives = warc.write_archives(warc.with_revisits(pages), archive_bytes=20_000).collect()
+    assert sum(r.records for r in archives) == len(rows)
+    assert any(struct.unpack_from("<I", r.content)[0] == warc.DICTIONARY_MAGIC for r in archives)
+    for i, r in enumerate(archives):
+        (tmp_path / f"{i}.warc.zst").write_bytes(r.content)
+    found = warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path))).collect()
+    assert len(found) == len(rows) and not [r.problem for r in found if r.problem]
+    by_id = {int(r.record_id.removeprefix(warc.ID)): r for r in found}
+    for page, url, html in rows:
+        r, payload = by_id[page], (html or "").encode()
+        assert (r.payload_bytes, r.payload_digest, r.url) == (len(payload), hashlib.sha1(payload).hexdigest(), url)
+        assert (r.record_type, r.refers_to) == (("revisit", "urn:page:3") if page in (1, 2) else ("response", None))
+        assert r.payload == (None if page in (1, 2) else bytearray(payload))
+    assert warc.read_archives(warc.write_archives(warc.with_revisits(pages.limit(0)))).count() == 0
+
+
+def test_broken_archives_are_reported(spark):
+    good = warc.record(1, "u", b"x" * 50, hashlib.sha1(b"x" * 50).hexdigest(), None, "2000-01-01T00:00:00Z")
+    pack = zstandard.ZstdCompressor().compress
+    skipped = struct.pack("<II", 0x184D2A50, 3) + b"abc"
+    cases = {
+        "ok": skipped + pack(good) + skipped,
+        "length": pack(good.replace(b"Content-Length: 50", b"Content-Length: 49")),
+        "block": pack(good + b"x"),
+        "version": pack(good.replace(b"WARC/1.1", b"WARC/9.9")),
+        "digest": pack(good.replace(b"xxxx", b"xyxx", 1)),
+        "cut": pack(good)[:-8],
+        "noise": b"no archive at all",
+        "empty": b"",
+    }
+    table = spark.createDataFrame([(bytearray(v),) for v in cases.values()], "content binary").coalesce(1)
+    found = [r.problem for r in warc.read_archives(table).collect()]
+    assert found[0] is None and len(found) == len(cases) - 1 and all(found[1:])
+
+
+# Repeated passages
+
+
+def plain_removal(rows, length=runindex.LENGTH):
+    last = 1 << 62
+    first = {}
+    texts = [(last if k is None else k, (t or "").encode()) for k, t in rows]
+    for k, b in texts:
+        for i in range(len(b) - length + 1):
+            first[b[i : i + length]] = min(k, first.get(b[i : i + length], last))
+    result = []
+    for k, b in texts:
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if first[b[i : i + length]] < k:
+                gone[i : i + length] = b"\1" * length
+        spans = sum(1 for i in range(len(b)) if gone[i] and (not i or not gone[i - 1]))
+        result.append((None if k == last else k, len(b), sum(gone), spans, bytes(c for c, x in zip(b, gone, strict=True) if not x)))
+    return result
+
+
+def test_index_equals_plain_search():
+    rng = random.Random(3)
+    for trial in range(200):
+        length = rng.choice([5, 8, 17])
+        base = [bytes(rng.choices(b"ab\0c" if trial % 2 else b"ab", k=rng.randint(length, length + 63))) for _ in range(5)]
+        texts = {(rng.choice(base)[rng.randint(0, 3) :] + rng.choice(base))[: rng.randint(length, length + 63)] for _ in range(12)}
+        texts = [t for t in sorted(texts) if len(t) >= length]
+        if not texts:
+            continue
+        ids = np.array([rng.randint(0, 6) for _ in texts])
+        first = {}
+        for t, k in zip(texts, ids, strict=True):
+            for i in range(len(t) - length + 1):
+                first[t[i : i + length]] = min(k, first.get(t[i : i + length], 99))
+        expected = [sum(1 << i for i in range(len(t) - length + 1) if first[t[i : i + length]] < k) for t, k in zip(texts, ids, strict=True)]
+        assert [int(m) for m in runindex.repeated_strings(texts, ids.copy(), length)] == expected
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 3000, "bucket_bytes": 2000}, {"crowded": 1, "block_bytes": 5000}])
+def test_repeats_equal_plain_search(spark, sizes):
+    rng = random.Random(11)
+    words = ["alpha", "beta", "gamma", "délta", "ε"]
+    passage = [" ".join(rng.choices(words, k=40)) for _ in range(4)]
+    rows = [(None, passage[0]), (7, None), (8, ""), (9, "a" * 4000), (9, "a" * 300), (10, "b" + "a" * 200), (5, passage[1]), (5, passage[1])]
+    for i in range(60):
+        parts = [" ".join(rng.choices(words, k=rng.randint(0, 30))), rng.choice(passage)[rng.randint(0, 90) :], str(i) * 20]
+        rows.append((rng.randint(0, 50), rng.choice(["", "x"]).join(rng.sample(parts, 3))))
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id bigint, text string, kept int").repartition(5)
+    got = runindex.remove_repeats(docs, keep=["doc_id", "kept"], **sizes).collect()
+    found = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got]
+    assert by_key(found) == by_key(plain_removal(rows))
+    assert sum(r[2] for r in found) > 1000
+    assert runindex.remove_repeats(docs.limit(0), keep=["doc_id"], **sizes).count() == 0
+
+
+def test_statistics_come_from_few_samples():
+    """A text of many copies has far fewer samples than places, and the streamed matches are those of all suffixes."""
+    text = b"abracadabra" * 40
+    joined = np.frombuffer(text + b"\0", np.uint8).astype(np.uint16) + 1
+    joined[-1] = 0
+    left = np.arange(len(joined))[::-1]
+    index = runindex.build_index(joined, left, np.array([len(joined) - 1]))
+    assert len(index.sampled) < len(joined) / 10 and index.sizes.sum() == len(joined)
+    before, match = runindex.matching_statistics(index)
+    order = sorted(range(len(text) + 1), key=lambda i: text[i:])
+    for a, b in zip(order, order[1:], strict=False):
+        same = 0
+        while max(a, b) + same < len(text) and text[a + same] == text[b + same]:
+            same += 1
+        assert (before[b], match[b]) == (a, same)
+
+
+# Pipeline
+
+
+def test_pipeline(spark):
+    rows = [(i, " ".join(f"{w}{i}" for w in ("the", "of", "and", "with")) + " " + " ".join(f"word{i}x{j}" for j in range(40)), "en", f"s{i % 3}") for i in range(30)]
+    shared = " a passage that several of the documents hold in the very same words, long enough to be found"
+    rows = [(k, t + shared if k % 5 == 0 else t, lang, s) for k, t, lang, s in rows]
+    rows += [(100, rows[0][1], "en", "s0"), (100, rows[0][1], "en", "s0"), (101, None, "en", None), (102, "12 34", None, "s1"), (None, rows[1][1] + " tail", "en", None)]
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), "extra") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id string")
+    after = {}
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = spark.createDataFrame(stage(spark, docs, "").collect(), stage(spark, docs, "").schema)
+        after[name] = docs.collect()
+        if name != "tokens":
+            assert docs.columns == columns
+    assert {r.doc_id for r in after["language"]} == {*range(30), 100, None}
+    assert sorted(r.doc_id for r in after["near_duplicates"] if r.doc_id is not None) == list(range(30))
+    kept = {k: (n, bytes(b)) for k, _, n, _, b in plain_removal([(r.doc_id, r.text) for r in after["near_duplicates"]])}
+    assert {r.doc_id: r.text.encode() for r in after["repeats"]} == {k: b for k, (_, b) in kept.items() if b}
+    assert sum(n for n, _ in kept.values()) > 100
+    before, words = {r.doc_id: r for r in after["repeats"]}, {}
+    for r in after["mix"]:
+        assert r.n_chars == len(r.text)
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+        assert r.text == before[r.doc_id].text or before[r.doc_id].text.split()[: len(r.text.split())] == r.text.split()
+    mixed = mixing.mix_sources(spark.createDataFrame(after["repeats"], "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id string")).collect()
+    assert words == {r.doc_id: r.taken for r in mixed if r.taken}
+    assert len(after["tokens"]) == len(after["mix"]) and all(len(r.ids) == 4 * r.n_tokens > 0 for r in after["tokens"])
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeats", "mix", "tokens"]
