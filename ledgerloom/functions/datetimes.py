@@ -12,9 +12,12 @@ def datetime_value(name: str, formats: Sequence[str] = ()) -> Column:
     """Zone-free timestamp of a text cell, NULL when it does not parse.
 
     Without ``formats`` the ISO forms are read. With ``formats`` the first one that fits wins.
-    TIMESTAMP_NTZ keeps the result independent of the session time zone.
+    The value never passes through a time zone, so an hour that a zone skips is read as it stands.
     """
     if not formats:
         return F.expr(f"try_cast(`{name}` AS timestamp_ntz)")
-    parsed = [F.try_to_timestamp(F.col(name), F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
+    parsed = [
+        F.when(F.try_to_timestamp(F.col(name), F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(F.col(name), F.lit(fmt)))
+        for fmt in formats
+    ]
     return F.coalesce(*parsed)

@@ -1,4 +1,7 @@
-"""Number coercion of a named column, and rounding. Text that is not a number becomes NULL."""
+"""Number coercion of a named column, and rounding. Text that is not a number becomes NULL.
+
+A number that does not fit its type is not unreadable: it raises, rather than be taken for missing and replaced.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +10,29 @@ from pyspark.sql import functions as F
 
 from ledgerloom.schema import AMOUNT, CURRENCY_SUFFIX
 
+# What reads as a decimal number.
+NUMBER_PATTERN = r"^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$"
+
+
+def is_number(text: str) -> str:
+    """SQL that tells whether the text expression reads as a number of any size."""
+    return f"coalesce({text} RLIKE '{NUMBER_PATTERN}', false)"
+
+
+def _exact(text: str, name: str, decimal_type: str, strict: bool) -> Column:
+    value = f"try_cast({text} AS {decimal_type})"
+    if not strict:
+        return F.expr(value)
+    # Only a cell that did not parse is looked at again.
+    message = f"concat('{name}: a number outside {decimal_type}: ', {text})"
+    return F.expr(
+        f"coalesce({value}, CASE WHEN {is_number(text)} THEN CAST(raise_error({message}) AS {decimal_type}) END)"
+    )
+
 
-def amount_value(name: str, decimal_type: str = AMOUNT) -> Column:
+def amount_value(name: str, decimal_type: str = AMOUNT, strict: bool = True) -> Column:
     """Exact decimal of a text cell. Decimal parsing already rejects ``1d``, ``0x10``, ``inf``, ``1,000``."""
-    return F.expr(f"try_cast(`{name}` AS {decimal_type})")
+    return _exact(f"`{name}`", name, decimal_type, strict)
 
 
 def whole_number(name: str) -> Column:
@@ -26,12 +48,17 @@ def whole_number(name: str) -> Column:
     )
 
 
-def price_value(name: str, decimal_type: str) -> Column:
-    """Price after removing each currency suffix, whatever its casing.
+def price_text(name: str) -> str:
+    """SQL of a price cell after removing each currency suffix, whatever its casing.
 
     Upper-casing first makes this a literal replacement; casing never matters to a number.
     """
-    return F.expr(f"try_cast(replace(upper(`{name}`), '{CURRENCY_SUFFIX}', '') AS {decimal_type})")
+    return f"replace(upper(`{name}`), '{CURRENCY_SUFFIX}', '')"
+
+
+def price_value(name: str, decimal_type: str, strict: bool = True) -> Column:
+    """Price of a text cell that may carry currency suffixes."""
+    return _exact(price_text(name), name, decimal_type, strict)
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:

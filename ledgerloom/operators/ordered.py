@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 
 def ordered_chunks(df: DataFrame, key: str, order: Sequence[str], folder: str) -> DataFrame:
-    """``df`` with ``_chunk``, which ascends along ``(key, *order)``; written to ``folder`` and read back."""
+    """``df`` with ``_chunk``, which ascends along ``(key, *order)``; written to ``folder`` and read back.
+
+    The number of chunks is not fixed, so adaptive execution sizes them; neighbours that it joins stay in order.
+    """
     spark = df.sparkSession
-    chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(chunks, key, *order).withColumn("_chunk", F.spark_partition_id())
+    ranged = df.repartitionByRange(key, *order).withColumn("_chunk", F.spark_partition_id())
     ranged.write.mode("overwrite").parquet(folder)
     return spark.read.parquet(folder)
 

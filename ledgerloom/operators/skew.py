@@ -7,37 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are ever called frequent, so the list is always safe to broadcast.
-MAX_FREQUENT_KEYS = 256
-# Size of the frequent-items sketch; it finds every key above roughly 0.1 % of its rows.
-SKETCH_ITEMS = 4096
-# Scan tasks are sketched in this many groups, so no single task merges the sketches of all of them.
-SKETCH_GROUPS = 256
-
 
 def frequent_keys(df: DataFrame, key: str) -> DataFrame:
     """``(key, _fan)`` for keys that hold more than one shuffle partition's share of the rows.
 
-    One sketch per scan task, merged per group of tasks: the rows are not shuffled. ``_fan`` is
-    the number of partitions' worth of rows the key has where it is densest. The list only
-    steers where rows go, never which rows are joined.
+    The counts are exact, summed per task before the shuffle, so every evaluation gives the same list; fewer
+    keys than there are shuffle partitions can exceed one share. ``_fan`` is the number of shares the key has.
+    The list only steers where rows go, never which rows are joined.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = F.expr(f"approx_top_k(`{key}`, {MAX_FREQUENT_KEYS}, {SKETCH_ITEMS})")
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(group.alias("_group"))
-        .agg(top.alias("top"), F.count(F.lit(1)).alias("rows"))
-        .select("rows", F.inline("top"))
-        .select(F.col("item").alias(key), (F.col("count") * F.lit(partitions) / F.col("rows")).alias("_share"))
-        .where("_share > 1")
-        .groupBy(key)
-        .agg(F.ceil(F.max("_share")).cast("int").alias("_fan"), F.sum("_share").alias("_weight"))
-        .orderBy(F.desc("_weight"))
-        .limit(MAX_FREQUENT_KEYS)
-        .select(key, "_fan")
-    )
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    shares = F.col("_rows") * F.lit(partitions) / total
+    return counts.where(shares > 1).select(key, F.ceil(shares).cast("int").alias("_fan"))
 
 
 def spread_join(
@@ -54,7 +36,8 @@ def spread_join(
     A frequent key's facts go to ``_fan`` buckets and its lookup rows are repeated once per
     bucket; all other keys use bucket 0. The bucket is a hash of ``spread_by`` and the input
     partition, so copies of one row split too and a re-run task sends its rows the same way.
-    A lookup below the session's broadcast threshold is still broadcast by Spark itself.
+    ``frequent`` has fewer rows than there are shuffle partitions and is broadcast. A lookup
+    below the session's broadcast threshold is still broadcast by Spark itself.
     """
     hot = F.broadcast(frequent)
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -1,4 +1,10 @@
-"""Amount-to-points tier lookup: closed intervals, open top, highest lower bound wins."""
+"""Amount-to-points tier lookup: closed intervals, open top, highest lower bound wins.
+
+An amount has a whole-number position: twice its count of ten-thousandths, plus one if it lies between two of them. Tier
+bounds are whole ten-thousandths, so a tier is an interval of positions. It is cut into blocks whose size and start are
+powers of two, at most two per size; the blocks that contain a position are found by shifting it. So tiers and amounts
+meet by equality, and rows grow with tiers times sizes, never with pairs, however tiers nest or reach.
+"""
 
 from __future__ import annotations
 
@@ -7,68 +13,84 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.skew import frequent_keys, spread_join
 
-# Tier tables up to this size travel as one array value; larger ones are joined by band.
-MAX_INLINE_TIERS = 1000
-
+# Tier bounds are decimal(18,4): their positions lie well within half of this on either side of zero.
+SPAN = 1 << 62
+# Block sizes, as powers of two; a tier from end to end has two blocks of the largest.
+SIZES = 62
 
-def tier_lookup(
-    rows: DataFrame,
-    amount: str,
-    tiers: DataFrame,
-    points: str = "points_delta",
-    max_inline: int = MAX_INLINE_TIERS,
-) -> DataFrame:
-    """Add ``points`` for the tier that holds ``amount``; 0 when none does or the amount is null."""
-    # A null bound matches nothing in the lower position and means "open" in the upper one.
-    tiers = tiers.where(F.col("min_amount").isNotNull() & F.col("points_awarded").isNotNull())
-    if tiers.limit(max_inline + 1).count() <= max_inline:
-        return _inline_lookup(rows, amount, tiers, points)
-    return _banded_lookup(rows, amount, tiers, points)
 
+def position(amount: Column) -> Column:
+    """Place of an amount on the line of positions; amounts beyond all tier bounds share the ends of the line."""
+    half = F.lit(SPAN // 2).cast("decimal(38,0)")
+    scaled = amount.cast("decimal(38,13)") * 10000
+    steps = F.floor(scaled)
+    between = F.when(scaled > steps, 1).otherwise(0)
+    reach = F.greatest(-half, F.least(half, steps.cast("decimal(38,0)") * 2 + between))
+    return (reach + half).cast("bigint")
 
-def _holds(low: Column, high: Column, amount: Column) -> Column:
-    return (low <= amount) & (high.isNull() | (amount <= high))
 
+def tier_blocks(tiers: DataFrame) -> DataFrame:
+    """``(block, step)``: the tier that wins in each block, as (min_amount, max_amount, points_awarded).
 
-def _inline_lookup(rows: DataFrame, amount: str, tiers: DataFrame, points: str) -> DataFrame:
-    """The ladder is one sorted array from a scalar subquery: rows are neither joined nor shuffled."""
-    step = F.struct("min_amount", "max_amount", "points_awarded")
-    ladder = tiers.agg(F.sort_array(F.collect_list(step), asc=False)).scalar()
-    matches = F.filter("_ladder", lambda t: _holds(t["min_amount"], t["max_amount"], F.col(amount)))
-    best = F.get(matches, F.lit(0))["points_awarded"]
-    return rows.withColumn("_ladder", ladder).withColumn(points, F.coalesce(best, F.lit(0))).drop("_ladder")
+    ``block`` is (size, number). All tiers of a block contain all of it, so the highest lower bound wins there.
+    """
+    # A null bound matches nothing in the lower position and means "open" in the upper one.
+    usable = tiers.where(
+        "min_amount IS NOT NULL AND points_awarded IS NOT NULL AND (max_amount IS NULL OR max_amount >= min_amount)"
+    )
+    ends = usable.select(
+        F.struct("min_amount", "max_amount", "points_awarded").alias("step"),
+        position(F.col("min_amount")).alias("low"),
+        F.when(F.col("max_amount").isNull(), F.lit(SPAN)).otherwise(position(F.col("max_amount"))).alias("high"),
+    )
+    # Per size: whole blocks between the ends; one is taken at an end that no block of twice the size covers.
+    sized = ends.select(
+        "step",
+        F.explode(
+            F.expr(
+                f"transform(sequence(0, {SIZES - 1}), k -> struct(k AS size, "
+                "shiftright(low + shiftleft(1L, k) - 1, k) AS first, shiftright(high + 1, k) AS after))"
+            )
+        ).alias("b"),
+    ).where("b.first < b.after")
+    top = F.col("b.size") == SIZES - 1
+    ends_of_size = F.filter(
+        F.array(
+            F.when(top | (F.col("b.first") % 2 == 1), F.col("b.first")),
+            F.when(top | (F.col("b.after") % 2 == 1), F.col("b.after") - 1),
+        ),
+        lambda n: n.isNotNull(),
+    )
+    blocks = sized.select(
+        "step", F.col("b.size").alias("size"), F.explode(F.array_distinct(ends_of_size)).alias("number")
+    )
+    return blocks.groupBy(F.struct("size", "number").alias("block")).agg(F.max("step").alias("step"))
 
 
-def _banded_lookup(rows: DataFrame, amount: str, tiers: DataFrame, points: str) -> DataFrame:
-    """Equi-join on bands of equal width, then keep the winner per distinct amount.
+def tier_lookup(rows: DataFrame, amount: str, tiers: DataFrame, points: str = "points_delta") -> DataFrame:
+    """Add ``points`` for the tier that holds ``amount``; 0 when none does or the amount is null.
 
-    Distinct amounts are matched, not rows, and both joins spread their frequent keys, so
-    neither a popular amount nor a crowded band ends up in one task.
+    Distinct amounts are matched, not rows, and both joins spread their frequent keys, so neither a popular amount
+    nor a block that holds most of them ends up in one task.
     """
-    top = F.coalesce("max_amount", "min_amount")
-    grid = tiers.agg(
-        F.struct(
-            F.min("min_amount").cast("double").alias("low"),
-            F.greatest((F.max(top) - F.min("min_amount")).cast("double") / F.count(F.lit(1)), F.lit(0.01)).alias("width"),
-            F.count(F.lit(1)).alias("bands"),
+    blocks = tier_blocks(tiers)
+    # The sizes in use, a list of at most all sizes.
+    sizes = blocks.agg(F.collect_set("block.size")).scalar()
+    amounts = (
+        rows.select(amount)
+        .where(F.col(amount).isNotNull())
+        .distinct()
+        .withColumn("_position", position(F.col(amount)))
+        .withColumn("_size", F.explode(sizes))
+        .select(
+            amount,
+            F.struct(F.col("_size").alias("size"), F.expr("shiftright(_position, _size)").alias("number")).alias("block"),
         )
-    ).scalar()
-
-    def band(value: Column) -> Column:
-        # Monotone and clamped to the grid, so an open tier ends in the last band.
-        raw = F.floor((value.cast("double") - grid["low"]) / grid["width"])
-        return F.greatest(F.lit(0), F.least(grid["bands"], raw))
-
-    last = F.when(F.col("max_amount").isNull(), grid["bands"]).otherwise(band(F.col("max_amount")))
-    steps = tiers.where(F.col("max_amount").isNull() | (F.col("max_amount") >= F.col("min_amount"))).withColumn(
-        "_band", F.explode(F.sequence(band(F.col("min_amount")), last))
     )
-    amounts = rows.select(amount).where(F.col(amount).isNotNull()).distinct().withColumn("_band", band(F.col(amount)))
-    candidates = spread_join(amounts, steps, "_band", frequent_keys(amounts, "_band"), [amount], "inner")
     winners = (
-        candidates.where(_holds(F.col("min_amount"), F.col("max_amount"), F.col(amount)))
+        spread_join(amounts, blocks, "block", frequent_keys(amounts, "block"), [amount], "inner")
         .groupBy(amount)
-        .agg(F.max(F.struct("min_amount", "max_amount", "points_awarded")).alias("_step"))
+        .agg(F.max("step").alias("_step"))
         .select(amount, F.col("_step.points_awarded").alias(points))
     )
     keyed = spread_join(rows, winners, amount, frequent_keys(rows, amount), rows.columns)

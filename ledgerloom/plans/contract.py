@@ -1,24 +1,24 @@
-"""Schema validation of the raw tables: unreadable cells, missing keys and unexpected values."""
+"""Schema validation of the raw tables: unreadable or ill-fitting cells, missing keys and unexpected values.
+
+Nothing raises here, so a table that staging refuses can be looked into.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import amount_value, boolean_value, datetime_value, lower_text, price_value, whole_number
-from ledgerloom.schema import PERCENT, PRICE, QUANTITY
-
-READERS = {
-    "id": whole_number,
-    "amount": amount_value,
-    "quantity": lambda name: amount_value(name, QUANTITY),
-    "price": lambda name: price_value(name, PRICE),
-    "percent": lambda name: amount_value(name, PERCENT),
-    "datetime": datetime_value,
-    "boolean": boolean_value,
-}
+from ledgerloom.functions import boolean_value, datetime_value, lower_text, whole_number
+from ledgerloom.functions.numbers import is_number, price_text
+from ledgerloom.schema import AMOUNT, PERCENT, PRICE, QUANTITY
+
+# Kind of number -> its type.
+NUMBER_TYPES = {"amount": AMOUNT, "quantity": QUANTITY, "price": PRICE, "percent": PERCENT}
+# The widest type that numbers are compared in, to see whether decimals were lost.
+WIDE = "decimal(38,18)"
 
 # How each raw column must read; columns not listed are free text.
 COLUMN_KINDS: dict[str, dict[str, str]] = {
@@ -59,13 +59,30 @@ ALLOWED: dict[str, dict[str, tuple[str, ...]]] = {
 }
 
 
-def table_rules(table: str) -> list[tuple[str, str, Column]]:
+def number_rules(name: str, kind: str) -> list[tuple[str, str, Column]]:
+    """A cell is no number, is one that its type cannot hold, or loses decimals in it."""
+    text = price_text(name) if kind == "price" else f"`{name}`"
+    value = f"try_cast({text} AS {NUMBER_TYPES[kind]})"
+    return [
+        (name, "unreadable", F.expr(f"`{name}` IS NOT NULL AND {value} IS NULL AND NOT {is_number(text)}")),
+        (name, "out_of_range", F.expr(f"`{name}` IS NOT NULL AND {value} IS NULL AND {is_number(text)}")),
+        (name, "rounded", F.expr(f"coalesce(try_cast({text} AS {WIDE}) <> {value}, false)")),
+    ]
+
+
+def table_rules(table: str, datetime_formats: Sequence[str] = ()) -> list[tuple[str, str, Column]]:
     """``(column, rule, is violated)`` for every rule of a raw table."""
+    readers = {
+        "id": whole_number,
+        "datetime": lambda name: datetime_value(name, datetime_formats),
+        "boolean": boolean_value,
+    }
     rules = [(name, "missing", F.col(name).isNull()) for name in REQUIRED[table]]
-    rules += [
-        (name, "unreadable", F.col(name).isNotNull() & READERS[kind](name).isNull())
-        for name, kind in COLUMN_KINDS[table].items()
-    ]
+    for name, kind in COLUMN_KINDS[table].items():
+        if kind in NUMBER_TYPES:
+            rules += number_rules(name, kind)
+        else:
+            rules.append((name, "unreadable", F.col(name).isNotNull() & readers[kind](name).isNull()))
     rules += [
         (name, "unexpected", F.col(name).isNotNull() & ~lower_text(name).isin(*values))
         for name, values in ALLOWED.get(table, {}).items()
@@ -73,9 +90,9 @@ def table_rules(table: str) -> list[tuple[str, str, Column]]:
     return rules
 
 
-def validate_table(raw: DataFrame, table: str) -> DataFrame:
+def validate_table(raw: DataFrame, table: str, datetime_formats: Sequence[str] = ()) -> DataFrame:
     """``(table_name, column_name, rule, failed_count)`` from one pass over the raw table."""
-    rules = table_rules(table)
+    rules = table_rules(table, datetime_formats)
     counts = raw.agg(*(F.count_if(violated).alias(f"{name}_{rule}") for name, rule, violated in rules))
     rows = [
         F.struct(
@@ -89,6 +106,6 @@ def validate_table(raw: DataFrame, table: str) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def validate_raw(raw: dict[str, DataFrame]) -> DataFrame:
+def validate_raw(raw: dict[str, DataFrame], datetime_formats: Sequence[str] = ()) -> DataFrame:
     """All rules of all raw tables given."""
-    return reduce(DataFrame.unionByName, (validate_table(df, table) for table, df in raw.items()))
+    return reduce(DataFrame.unionByName, (validate_table(df, table, datetime_formats) for table, df in raw.items()))

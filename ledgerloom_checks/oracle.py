@@ -354,7 +354,7 @@ STATEMENTS["x_redemption_events"] = f"""SELECT payment_id, card_id, order_id, pa
 STATEMENTS["x_balance_at_payment"] = f"""SELECT p.payment_id, any_value(p.card_id) AS card_id, any_value(p.order_id) AS order_id,
   any_value(p.payment_datetime) AS payment_datetime, {money('any_value(p.points_used)')} AS points_used,
   {money('coalesce(SUM(l.points_delta), 0)')} AS points_balance
-  FROM (SELECT * FROM fact_payments WHERE {SPENT}) p LEFT JOIN stg_card_points_ledger l
+  FROM (SELECT * FROM fact_payments WHERE {SPENT}) p LEFT JOIN fact_card_points_ledger l
   ON l.card_id = p.card_id AND (p.payment_datetime IS NULL OR l.event_datetime <= p.payment_datetime) GROUP BY p.payment_id"""
 STATEMENTS["x_customer_scd2"] = f"""SELECT customer_id, segment, _ingest_seq AS valid_from,
   lead(_ingest_seq) OVER (PARTITION BY customer_id ORDER BY _ingest_seq) AS valid_to,
@@ -365,13 +365,23 @@ STATEMENTS["x_incremental_orders"] = "SELECT * FROM stg_orders_master"
 
 KINDS = {
     "id": ident,
-    "amount": number,
-    "quantity": lambda c: number(c, "DECIMAL(12,3)"),
-    "price": lambda c: f"TRY_CAST(regexp_replace({cell(c)}, ' CHF', '', 'gi') AS DECIMAL(14,4))",
-    "percent": lambda c: number(c, "DECIMAL(9,4)"),
     "datetime": moment,
     "boolean": lambda c: f"CASE WHEN {lower(c)} IN ('true', 'false') THEN 1 END",
 }
+NUMBERS = {"amount": "DECIMAL(18,4)", "quantity": "DECIMAL(12,3)", "price": "DECIMAL(14,4)", "percent": "DECIMAL(9,4)"}
+NUMBER_FORM = r"'\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*'"
+
+
+def number_violations(table: str, column: str, kind: str) -> list[tuple[str, str, str, str]]:
+    text = f"regexp_replace({cell(column)}, ' CHF', '', 'gi')" if kind == "price" else cell(column)
+    lost, numeric = f"{text} IS NOT NULL AND TRY_CAST({text} AS {NUMBERS[kind]}) IS NULL", f"regexp_full_match({text}, {NUMBER_FORM})"
+    return [
+        (table, column, "unreadable", f"{lost} AND NOT {numeric}"),
+        (table, column, "out_of_range", f"{lost} AND {numeric}"),
+        (table, column, "rounded", f"TRY_CAST({text} AS DECIMAL(38,18)) <> TRY_CAST({text} AS {NUMBERS[kind]})"),
+    ]
+
+
 # (table, required columns, column kinds, allowed values)
 RULES = (
     ("customers", "customer_id", "customer_id:id signup_date:datetime", {}),
@@ -395,7 +405,10 @@ def rule_counts() -> list[str]:
     for table, required, kinds, allowed in RULES:
         violated += [(table, c, "missing", f"{cell(c)} IS NULL") for c in required.split()]
         for column, kind in (pair.split(":") for pair in kinds.split()):
-            violated.append((table, column, "unreadable", f"{cell(column)} IS NOT NULL AND {KINDS[kind](column)} IS NULL"))
+            if kind in NUMBERS:
+                violated += number_violations(table, column, kind)
+            else:
+                violated.append((table, column, "unreadable", f"{cell(column)} IS NOT NULL AND {KINDS[kind](column)} IS NULL"))
         violated += [(table, c, "unexpected", f"{cell(c)} IS NOT NULL AND {lower(c)} NOT IN ({v})") for c, v in allowed.items()]
     return [
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, COUNT(*) AS failed_count FROM {table}_raw WHERE {condition}"

@@ -285,9 +285,10 @@ def redemption_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def balance_at_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg, _ = _inputs(spark, sf_dir, "payments", "card_points_ledger")
+    stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
+    ledger = _ledger(marts.build_fact_orders(stg, frequent), stg, frequent)
     payments = marts.fact_payments(stg["stg_payments"])
-    return redemption.balance_at_payment(payments, stg["stg_card_points_ledger"], work_folder(spark, "balance"))
+    return redemption.balance_at_payment(payments, ledger, work_folder(spark, "balance"))
 
 
 def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.tiers import tier_blocks
 from ledgerloom.operators import (
     dedup_exact,
     dedup_latest,
@@ -82,28 +83,25 @@ def tier_frame(spark, tiers):
     )
 
 
-def looked_up(spark, amounts, tiers, max_inline):
+def looked_up(spark, amounts, tiers):
     rows = spark.createDataFrame([(i, a) for i, a in enumerate(amounts)], "i int, a string")
     rows = rows.select("i", F.col("a").cast("decimal(38,13)").alias("a"))
-    result = tier_lookup(rows, "a", tier_frame(spark, tiers), max_inline=max_inline)
+    result = tier_lookup(rows, "a", tier_frame(spark, tiers))
     return [r.points_delta for r in result.orderBy("i").collect()]
 
 
-@pytest.mark.parametrize("max_inline", [1000, 0])
-def test_tiers_are_closed_with_gaps_and_an_open_top(spark, max_inline):
+def test_tiers_are_closed_with_gaps_and_an_open_top(spark):
     amounts = ["49.99", "49.995", "50", "1000000", None, "-1", "600", "1000"]
-    assert looked_up(spark, amounts, TIERS, max_inline) == [1, 0, 3, 120, 0, 0, 0, 120]
+    assert looked_up(spark, amounts, TIERS) == [1, 0, 3, 120, 0, 0, 0, 120]
 
 
-@pytest.mark.parametrize("max_inline", [1000, 0])
-def test_overlapping_tiers_give_the_highest_lower_bound(spark, max_inline):
+def test_overlapping_tiers_give_the_highest_lower_bound(spark):
     tiers = [("0", None, "1"), ("10", "30", "2"), ("20", "25", "3")]
-    assert looked_up(spark, ["5", "15", "22", "27", "31"], tiers, max_inline) == [1, 2, 3, 2, 1]
+    assert looked_up(spark, ["5", "15", "22", "27", "31"], tiers) == [1, 2, 3, 2, 1]
 
 
-@pytest.mark.parametrize("max_inline", [1000, 0])
-def test_no_tiers_give_no_points(spark, max_inline):
-    assert looked_up(spark, ["5", None], [], max_inline) == [0, 0]
+def test_no_tiers_give_no_points(spark):
+    assert looked_up(spark, ["5", None], []) == [0, 0]
 
 
 BOUND = st.integers(0, 400)
@@ -114,7 +112,7 @@ BOUND = st.integers(0, 400)
     st.lists(st.tuples(BOUND, st.one_of(st.none(), BOUND), st.integers(0, 50)), min_size=1, max_size=12),
     st.lists(st.integers(-10, 500), min_size=1, max_size=60),
 )
-def test_both_tier_paths_match_brute_force(spark, tiers, amounts):
+def test_tiers_match_brute_force(spark, tiers, amounts):
     by_low = {low: (low, high, points) for low, high, points in tiers}  # distinct lower bounds: no ties
     tiers = list(by_low.values())
 
@@ -124,8 +122,31 @@ def test_both_tier_paths_match_brute_force(spark, tiers, amounts):
 
     text = [(str(low), None if high is None else str(high), str(points)) for low, high, points in tiers]
     expected = [Decimal(brute(a)) for a in amounts]
-    assert looked_up(spark, [str(a) for a in amounts], text, 1000) == expected
-    assert looked_up(spark, [str(a) for a in amounts], text, 0) == expected
+    assert looked_up(spark, [str(a) for a in amounts], text) == expected
+
+
+def test_thousands_of_open_far_and_nested_tiers(spark):
+    rng = random.Random(4)
+    tiers = [(i, None if i % 3 else rng.choice([i, i + 5, 10**13]), i % 97) for i in range(0, 6000, 2)]
+    amounts = [Decimal(rng.randint(-100, 130_000)) / 16 for _ in range(300)] + [Decimal(10) ** 20, Decimal(-10) ** 19]
+    frame = tier_frame(spark, [(str(a), None if b is None else str(b), str(c)) for a, b, c in tiers])
+    # Rows grow with tiers times block sizes, not with pairs of tiers.
+    assert tier_blocks(frame).count() < 40 * len(tiers)
+    got = looked_up(spark, [str(a) for a in amounts], [(str(a), None if b is None else str(b), str(c)) for a, b, c in tiers])
+    for a, points in zip(amounts, got, strict=True):
+        matches = [t for t in tiers if t[0] <= a and (t[1] is None or a <= t[1])]
+        assert points == (max(matches, key=lambda t: t[0])[2] if matches else 0), a
+
+
+def test_blocks_tile_each_tier_exactly(spark):
+    bounds = [("0", "0"), ("-5", "7.0001"), ("1", None), ("-99999999999999", "99999999999999.9999")]
+    for low, high in bounds:
+        frame = tier_frame(spark, [(low, high, "1")])
+        pieces = sorted((r.block.number << r.block.size, (r.block.number + 1) << r.block.size) for r in tier_blocks(frame).collect())
+        half = 1 << 61
+        assert pieces[0][0] == 2 * int(Decimal(low) * 10000) + half
+        assert pieces[-1][1] == (1 << 62) + 1 if high is None else pieces[-1][1] == 2 * int(Decimal(high) * 10000) + half + 1
+        assert all(a[1] == b[0] for a, b in zip(pieces, pieces[1:], strict=False))
 
 
 def hot_facts(spark):
@@ -141,6 +162,20 @@ def test_frequent_keys_find_only_the_hot_key(spark):
     assert frequent_keys(hot_facts(spark).where("false"), "k").collect() == []
 
 
+def test_every_hot_key_is_listed(spark):
+    """600 keys above one share of 2000 partitions, and none of the others."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        facts = spark.range(600 * 40).selectExpr("id % 600 AS k").union(spark.range(12000).selectExpr("id + 1000 AS k"))
+        found = frequent_keys(facts.repartition(4), "k")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    rows = found.collect()
+    assert sorted(r.k for r in rows) == list(range(600)) and {r._fan for r in rows} == {3}
+    assert "sketch" not in plan and "Limit" not in plan
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_spread_join_returns_what_a_plain_join_returns(spark, how):
     facts = hot_facts(spark)
