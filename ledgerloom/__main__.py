@@ -1,21 +1,30 @@
-"""``spark-submit``/``python -m ledgerloom RAW_FOLDER OUT_FOLDER``: run every layer and show the outcome."""
+"""``spark-submit``/``python -m ledgerloom RAW_FOLDER OUT_FOLDER``: run every layer and show the outcome.
+
+``--datetime-format`` may be repeated; ``--single-line`` splits large files whose cells hold no line breaks.
+"""
 
 from __future__ import annotations
 
-import sys
+import argparse
 
 from pyspark.sql import SparkSession
 
 from ledgerloom.plans import run, run_summary
 
 
-def main(raw_folder: str, out_folder: str) -> None:
+def main(arguments: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="ledgerloom", description=__doc__)
+    parser.add_argument("raw_folder")
+    parser.add_argument("out_folder")
+    parser.add_argument("--datetime-format", action="append", default=[])
+    parser.add_argument("--single-line", action="store_true")
+    options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("ledgerloom").getOrCreate()
-    layers = run(spark, raw_folder, out_folder)
+    layers = run(spark, options.raw_folder, options.out_folder, options.datetime_format, not options.single_line)
     run_summary(spark, layers).show(100, truncate=False)
     layers.data_quality["data_quality_report"].show(truncate=False)
     layers.analytics["kpi_summary"].show(truncate=False)
 
 
 if __name__ == "__main__":
-    main(*sys.argv[1:])
+    main()

@@ -6,9 +6,11 @@ scans read only the columns they need, and a lost executor never reaches behind
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.plans.analytics import build_analytics
 from ledgerloom.plans.loyalty import fact_card_points_ledger
@@ -25,6 +27,14 @@ from ledgerloom.sources import load_raw, read_tables, write_tables
 
 Tables = dict[str, DataFrame]
 
+# Fact -> the time by whose month its files are partitioned.
+PARTITION_TIMES = {
+    "fact_payments": "payment_datetime",
+    "fact_orders": "order_date",
+    "fact_card_points_ledger": "event_datetime",
+}
+MONTH = "partition_month"
+
 
 class Layers(NamedTuple):
     """Written tables by layer, read back, with the row counts seen while writing."""
@@ -37,20 +47,39 @@ class Layers(NamedTuple):
 
 
 def write_layer(spark: SparkSession, tables: Tables, folder: str, counts: dict[str, int] | None = None) -> Tables:
-    """Write ``tables`` below ``folder`` and return them as fresh scans."""
-    written = write_tables(tables, folder)
+    """Write ``tables`` below ``folder`` and return them as fresh scans.
+
+    Facts with a time get a month column that their files are partitioned by, so a scan of a period reads its months only.
+    """
+    dated = {name: PARTITION_TIMES[name] for name in tables if name in PARTITION_TIMES}
+    tables = tables | {
+        name: tables[name].withColumn(MONTH, F.date_format(time, "yyyy-MM")) for name, time in dated.items()
+    }
+    written = write_tables(tables, folder, partition_by=dict.fromkeys(dated, MONTH))
     if counts is not None:
         counts.update(written)
     return read_tables(spark, folder, tables)
 
 
-def write_staging(spark: SparkSession, raw: Tables, folder: str, counts: dict[str, int] | None = None) -> Tables:
-    return write_layer(spark, build_staging(raw), f"{folder}/staging", counts)
+def write_staging(
+    spark: SparkSession,
+    raw: Tables,
+    folder: str,
+    counts: dict[str, int] | None = None,
+    datetime_formats: Sequence[str] = (),
+) -> Tables:
+    return write_layer(spark, build_staging(raw, datetime_formats), f"{folder}/staging", counts)
 
 
-def write_facts(spark: SparkSession, stg: Tables, folder: str, counts: dict[str, int] | None = None) -> Tables:
+def write_facts(
+    spark: SparkSession,
+    stg: Tables,
+    folder: str,
+    counts: dict[str, int] | None = None,
+    frequent: Tables | None = None,
+) -> Tables:
     """Write the dimensions and every fact but the ledger from written staging tables."""
-    frequent = staged_frequent_keys(stg)
+    frequent = frequent or staged_frequent_keys(stg)
     facts = {
         "dim_customers": dim_customers(stg["stg_customers"]),
         "dim_products": dim_products(stg["stg_products"]),
@@ -63,18 +92,19 @@ def write_facts(spark: SparkSession, stg: Tables, folder: str, counts: dict[str,
 
 def write_marts(spark: SparkSession, stg: Tables, folder: str, counts: dict[str, int] | None = None) -> Tables:
     """Write all marts; the ledger reads the written ``fact_orders``."""
-    marts = write_facts(spark, stg, folder, counts)
+    frequent = staged_frequent_keys(stg)
+    marts = write_facts(spark, stg, folder, counts, frequent)
     ledger = fact_card_points_ledger(
         marts["fact_orders"], stg["stg_customer_cards"], stg["stg_points_thresholds"],
-        stg["stg_card_points_ledger"], staged_frequent_keys(stg),
+        stg["stg_card_points_ledger"], frequent,
     )
     return marts | write_layer(spark, {"fact_card_points_ledger": ledger}, f"{folder}/marts", counts)
 
 
-def run_layers(spark: SparkSession, raw: Tables, folder: str) -> Layers:
+def run_layers(spark: SparkSession, raw: Tables, folder: str, datetime_formats: Sequence[str] = ()) -> Layers:
     """Build and write every table below ``folder``, overwriting an earlier run."""
     counts: dict[str, int] = {}
-    stg = write_staging(spark, raw, folder, counts)
+    stg = write_staging(spark, raw, folder, counts, datetime_formats)
     marts = write_marts(spark, stg, folder, counts)
     report = write_layer(
         spark, {"data_quality_report": quality_report(raw, stg, marts)}, f"{folder}/data_quality", counts
@@ -83,9 +113,15 @@ def run_layers(spark: SparkSession, raw: Tables, folder: str) -> Layers:
     return Layers(stg, marts, analytics, report, counts)
 
 
-def run(spark: SparkSession, raw_folder: str, out_folder: str) -> Layers:
-    """Run everything from raw CSV files."""
-    return run_layers(spark, load_raw(spark, raw_folder), out_folder)
+def run(
+    spark: SparkSession,
+    raw_folder: str,
+    out_folder: str,
+    datetime_formats: Sequence[str] = (),
+    multi_line: bool = True,
+) -> Layers:
+    """Run everything from raw CSV files. Times are read as ISO, or by the first of ``datetime_formats`` that fits."""
+    return run_layers(spark, load_raw(spark, raw_folder, multi_line), out_folder, datetime_formats)
 
 
 def run_summary(spark: SparkSession, layers: Layers) -> DataFrame:

@@ -9,8 +9,12 @@ from ledgerloom.functions import null_tokens
 from ledgerloom.schema import INGEST_ORDINAL, OPTIONAL_COLUMNS, RAW_COLUMNS
 
 
-def csv_reader_options(multi_line: bool = False) -> dict[str, str]:
-    """Headered CSV with doubled quotes; a header that differs between files raises an error."""
+def csv_reader_options(multi_line: bool = True) -> dict[str, str]:
+    """Headered CSV with doubled quotes; a header that differs between files raises an error.
+
+    With ``multi_line`` a quoted cell may hold line breaks, and each file is read by one task; without it large
+    files are split.
+    """
     return {
         "header": "true",
         "enforceSchema": "false",
@@ -49,12 +53,12 @@ def conform_raw(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cells, *ordinal)
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
     """Raw ``table`` from one CSV file or a folder of them."""
     scan = spark.read.options(**csv_reader_options(multi_line)).csv(path)
     return conform_raw(with_arrival_order(scan), table)
 
 
-def load_raw(spark: SparkSession, raw_folder: str, multi_line: bool = False) -> dict[str, DataFrame]:
+def load_raw(spark: SparkSession, raw_folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
     """All raw tables of ``raw_folder``, each a ``<table>.csv`` file or folder."""
     return {table: read_raw_csv(spark, f"{raw_folder}/{table}.csv", table, multi_line) for table in RAW_COLUMNS}

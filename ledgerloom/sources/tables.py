@@ -55,11 +55,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     return written.get["rows"]
 
 
-def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, int]:
-    """Write independent tables side by side below ``folder``; returns their row counts."""
+def write_tables(
+    tables: dict[str, DataFrame], folder: str, fmt: str = "parquet", partition_by: dict[str, str] | None = None
+) -> dict[str, int]:
+    """Write independent tables side by side below ``folder``; returns their row counts.
+
+    ``partition_by``: table -> the column that its files are partitioned by.
+    """
+    by = partition_by or {}
     jobs: dict[str, Callable[[], int]] = {
         name: inheritable_thread_target(df.sparkSession)(
-            lambda df=df, name=name: write_table(df, f"{folder}/{name}", fmt)
+            lambda df=df, name=name: write_table(df, f"{folder}/{name}", fmt, by.get(name))
         )
         for name, df in tables.items()
     }

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as fn
+from ledgerloom.functions import amount_value, datetime_value, price_value
 from ledgerloom.schema import NULL_TOKENS, WHITESPACE
 
 
@@ -97,3 +98,30 @@ def test_ratio_is_zero_without_a_base(spark, numerator, denominator, expected):
 def test_rounding_happens_in_decimal(spark):
     row = spark.range(1).select(fn.rounded_double(F.lit("601.965").cast("decimal(18,4)"), 2).alias("r")).first()
     assert row.r == 601.97
+
+
+def test_formats_read_an_hour_that_the_zone_skips(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Zurich")
+    try:
+        read = lambda c: datetime_value(c, ["dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy"]).cast("string")
+        got = column(spark, read, ["29.03.2026 02:30:00", "01.02.2026", "2026-02-01", None])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2026-03-29 02:30:00", "2026-02-01 00:00:00", None, None]
+
+
+@pytest.mark.parametrize(
+    ("reader", "cell"),
+    [
+        (lambda c: amount_value(c, "decimal(12,3)"), "2000000000"),
+        (amount_value, "100000000000000"),
+        (amount_value, " 1e30 "),
+        (lambda c: amount_value(c, "decimal(9,4)"), "-100000"),
+        (lambda c: price_value(c, "decimal(14,4)"), "123456789012.5 chf"),
+    ],
+)
+def test_a_number_outside_its_type_raises(spark, reader, cell):
+    assert column(spark, reader, ["n/a", "1,000", None, "12"])[:3] == [None] * 3
+    with pytest.raises(Exception, match="a number outside decimal"):
+        column(spark, reader, [cell])

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ledgerloom_checks.raw_inputs import raw_cells, raw_tables
 from ledgerloom.plans import marts, run_layers, run_summary
 from ledgerloom.plans.loyalty import points_for_amounts
-from ledgerloom.plans.run import run
+from ledgerloom.__main__ import main
+from ledgerloom.plans.history import arrival_times, customer_segment_history
+from ledgerloom.plans.run import MONTH, run, write_layer
 from ledgerloom.plans.staging import build_staging
 from ledgerloom.schema import RAW_COLUMNS
 from ledgerloom.sources import conform_raw, load_raw, read_raw_csv, work_folder, write_table
@@ -39,10 +41,10 @@ def test_csv_quotes_and_missing_tokens(spark, tmp_path):
     assert tuple(row)[:6] == ("1", 'Ann "A", Ltd', None, None, None, "a@b")
 
 
-def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
+def test_quoted_line_breaks_are_read(spark, tmp_path):
     text = 'customer_id,customer_name,segment,country,signup_date,email\n1,"Ann\nB",x,y,z,e\n'
     write_text(tmp_path / "customers.csv", text)
-    row = read_raw_csv(spark, str(tmp_path / "customers.csv"), "customers", multi_line=True).first()
+    row = read_raw_csv(spark, str(tmp_path / "customers.csv"), "customers").first()
     assert row.customer_name == "Ann\nB"
 
 
@@ -105,7 +107,8 @@ def test_written_and_planned_runs_agree(spark):
     raw = raw_tables(spark, SMALL)
     layers = run_layers(spark, raw, work_folder(spark, "agree"))
     planned = marts.build_marts(build_staging(raw))
-    assert contents(layers.marts) == contents(planned)
+    written = {name: df.drop(MONTH) for name, df in layers.marts.items()}
+    assert contents(written) == contents(planned)
     summary = {(r.section, r.name): r.value for r in run_summary(spark, layers).collect()}
     assert summary["severity", "error"] == 7 and summary["severity", "warning"] == 8
     assert summary["marts", "fact_orders"] == planned["fact_orders"].count()
@@ -126,3 +129,43 @@ def test_work_folder_uses_the_shared_setting(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(shared)
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_command_line_reads_formats_and_line_breaks(spark, tmp_path, capsys):
+    """Day-first dates and a quoted line break reach the report of a full run."""
+    for table, df in raw_cells(spark, SMALL, *RAW_COLUMNS).items():
+        cells = df.select(*RAW_COLUMNS[table])
+        if table == "orders_master":
+            cells = cells.withColumn("order_date", F.regexp_replace("order_date", r"^(\d+)-(\d+)-(\d+)$", "$3.$2.$1"))
+        if table == "customers":
+            cells = cells.withColumn("customer_name", F.concat(F.lit("Line one\n"), "customer_name"))
+        write_table(cells.coalesce(1), f"{tmp_path}/raw/{table}.csv", "csv")
+    main([f"{tmp_path}/raw", f"{tmp_path}/out", "--datetime-format", "dd.MM.yyyy", "--datetime-format", "yyyy-MM-dd"])
+    assert "valid_revenue_orders" in capsys.readouterr().out
+    assert spark.read.parquet(f"{tmp_path}/out/analytics/revenue_by_day").count() > 10
+    names = spark.read.parquet(f"{tmp_path}/out/marts/dim_customers")
+    assert names.where("customer_name NOT LIKE 'Line one\n%'").count() == 0
+
+
+def test_facts_are_pruned_by_month(spark, tmp_path):
+    rows = [(str(i), "1", "bad" if i % 7 == 0 else f"2026-0{1 + i % 3}-05", "paid", "w", "c") for i in range(1, 60)]
+    orders = build_staging({"orders_master": raw_frame(spark, "orders_master", rows)})["stg_orders_master"]
+    back = write_layer(spark, {"fact_orders": orders}, str(tmp_path))["fact_orders"]
+    assert back.count() == 59 and back.where(f"{MONTH} IS NULL").count() == 8
+    plan = back.where(f"{MONTH} = '2026-02'")._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({MONTH}" in plan
+
+
+def test_history_bounds_as_arrival_times(spark, tmp_path):
+    import os
+
+    for i, segment in enumerate(("b2b", "vip", "vip")):
+        path = tmp_path / "customers.csv" / f"{i}.csv"
+        write_text(path, f"customer_id,customer_name,segment,country,signup_date,email\n1,n,{segment},c,d,e\n")
+        os.utime(path, (1_700_000_000 + 100 * i,) * 2)
+    raw = read_raw_csv(spark, str(tmp_path / "customers.csv"), "customers")
+    spans = arrival_times(customer_segment_history(raw, work_folder(spark, "history"))).orderBy("valid_from").collect()
+    assert [(r.segment, r.valid_from.timestamp(), r.valid_to and r.valid_to.timestamp()) for r in spans] == [
+        ("B2B", 1_700_000_000, 1_700_000_100),
+        ("VIP", 1_700_000_100, None),
+    ]
