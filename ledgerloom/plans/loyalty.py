@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import spread_join, tier_lookup
 from ledgerloom.plans.staging import stg_points_thresholds
+from ledgerloom.schema import FACT_COLUMNS
 from ledgerloom.sources import read_raw_csv
 
-LEDGER_COLUMNS = (
-    "ledger_id", "card_id", "order_id", "event_datetime", "event_type", "points_delta",
-    "ledger_source", "customer_id", "card_status", "is_valid_card",
-)
-
 
 def computed_earn(
     orders: DataFrame, cards: DataFrame, tiers: DataFrame, ledger: DataFrame, frequent_customers: DataFrame
@@ -75,7 +71,7 @@ def fact_card_points_ledger(
     return (
         raw.unionByName(earned, allowMissingColumns=True)
         .withColumn("is_valid_card", F.col("customer_id").isNotNull())
-        .select(*LEDGER_COLUMNS)
+        .select(*FACT_COLUMNS["fact_card_points_ledger"])
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import latest_value, spread_join
 from ledgerloom.plans.loyalty import fact_card_points_ledger
 from ledgerloom.plans.staging import staged_frequent_keys
-from ledgerloom.schema import AMOUNT, DISCOUNT_RATE
+from ledgerloom.schema import AMOUNT, DISCOUNT_RATE, FACT_COLUMNS
 
 # Payment types that stand for loyalty points.
 POINTS_PAYMENT_TYPES = ("points", "loyalty_card")
@@ -33,12 +33,8 @@ def fact_order_lines(details: DataFrame, products: DataFrame, frequent_products:
     """One row per order line, flagged and categorised by its product."""
     catalog = products.select("product_id", F.col("category").alias("product_category"), F.lit(True).alias("_known"))
     lines = spread_join(price_lines(details), catalog, "product_id", frequent_products, ["order_id", "line_id"])
-    return lines.select(
-        "order_id", "line_id", "product_id", "quantity", "unit_price", "discount_pct",
-        "line_gross", "line_net",
-        F.coalesce("_known", F.lit(False)).alias("has_valid_product"),
-        "product_category",
-    )
+    flagged = lines.withColumn("has_valid_product", F.coalesce("_known", F.lit(False)))
+    return flagged.select(*FACT_COLUMNS["fact_order_lines"])
 
 
 def _is(column: str, *values: str):
@@ -59,14 +55,13 @@ def fact_payments(payments: DataFrame) -> DataFrame:
         }
     )
     collected = F.col("is_successful_payment") & (F.col("payment_amount") > 0)
-    return flagged.select(
-        "payment_id", "order_id", "payment_datetime", "payment_type", "payment_status",
-        "payment_amount", "card_id", "points_used",
-        "is_successful_payment", "is_refund", "is_pending", "is_failed",
-        "is_points_payment", "is_installment_payment",
-        F.when(collected, F.col("payment_amount")).otherwise(none).alias("cash_collected_amount"),
-        F.when(F.col("is_refund"), F.abs("payment_amount")).otherwise(none).alias("refund_amount"),
+    split = flagged.withColumns(
+        {
+            "cash_collected_amount": F.when(collected, F.col("payment_amount")).otherwise(none),
+            "refund_amount": F.when(F.col("is_refund"), F.abs("payment_amount")).otherwise(none),
+        }
     )
+    return split.select(*FACT_COLUMNS["fact_payments"])
 
 
 def order_amounts(lines: DataFrame) -> DataFrame:
@@ -110,31 +105,30 @@ def fact_orders(
     joined = orders.join(amounts, "order_id", "left").join(payments_by_order, "order_id", "left")
     joined = spread_join(joined, segments, "customer_id", frequent_customers, ["order_id"])
 
-    zero_filled = [
-        "order_expected_amount", "total_cash_collected_amount", "total_refund_amount",
-        "points_used", "payment_event_count", "installment_event_count",
-    ]
-    joined = joined.na.fill(0, zero_filled).na.fill(False, ["has_successful_payment", "has_pending_payment", "_known"])
+    # An order without lines or payments has no row in the aggregates: its sums and counts are 0, its flags false.
+    measures = {f.name: f.dataType.typeName() for side in (amounts, payments_by_order) for f in side.schema if f.name != "order_id"}
+    flags = [name for name, kind in measures.items() if kind == "boolean"]
+    joined = joined.na.fill(0, [name for name, kind in measures.items() if kind in ("decimal", "long")])
+    joined = joined.na.fill(False, [*flags, "_known"])
 
     net = F.col("net_collected_amount")
     expected = F.col("order_expected_amount")
     paid = F.coalesce(F.col("order_status") == "paid", F.lit(False))
-    return joined.withColumn(
+    with_net = joined.withColumn(
         "net_collected_amount", F.col("total_cash_collected_amount") - F.col("total_refund_amount")
-    ).select(
-        "order_id", "customer_id", "order_date", "order_status", "sales_channel", "currency",
-        "customer_segment", "order_expected_amount",
-        "total_cash_collected_amount", "total_refund_amount", "net_collected_amount",
-        "points_used", "payment_event_count", "installment_event_count", "latest_payment_status",
-        F.col("_known").alias("has_customer"),
-        (F.col("payment_event_count") > 0).alias("has_any_payment"),
-        "has_successful_payment", "has_pending_payment",
-        (F.col("total_refund_amount") > 0).alias("has_refund"),
-        ((expected > 0) & (net >= expected)).alias("is_fully_paid"),
-        ((net > 0) & (net < expected)).alias("is_partially_paid"),
-        ((expected > 0) & (net > expected)).alias("is_overpaid"),
-        (paid & F.col("has_successful_payment") & (net > 0)).alias("is_valid_revenue"),
     )
+    flagged = with_net.withColumns(
+        {
+            "has_customer": F.col("_known"),
+            "has_any_payment": F.col("payment_event_count") > 0,
+            "has_refund": F.col("total_refund_amount") > 0,
+            "is_fully_paid": (expected > 0) & (net >= expected),
+            "is_partially_paid": (net > 0) & (net < expected),
+            "is_overpaid": (expected > 0) & (net > expected),
+            "is_valid_revenue": paid & F.col("has_successful_payment") & (net > 0),
+        }
+    )
+    return flagged.select(*FACT_COLUMNS["fact_orders"])
 
 
 def build_fact_orders(stg: dict[str, DataFrame], frequent: dict[str, DataFrame]) -> DataFrame:

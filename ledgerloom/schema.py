@@ -46,3 +46,27 @@ PERCENT = "decimal(9,4)"
 DISCOUNT_RATE = "decimal(9,6)"
 AMOUNT = "decimal(18,4)"
 POINTS = "decimal(18,4)"
+
+# The column lists of the facts.
+FACT_COLUMNS: dict[str, tuple[str, ...]] = {
+    "fact_order_lines": (
+        "order_id", "line_id", "product_id", "quantity", "unit_price", "discount_pct",
+        "line_gross", "line_net", "has_valid_product", "product_category",
+    ),
+    "fact_payments": (
+        "payment_id", "order_id", "payment_datetime", "payment_type", "payment_status", "payment_amount", "card_id",
+        "points_used", "is_successful_payment", "is_refund", "is_pending", "is_failed", "is_points_payment",
+        "is_installment_payment", "cash_collected_amount", "refund_amount",
+    ),
+    "fact_orders": (
+        "order_id", "customer_id", "order_date", "order_status", "sales_channel", "currency", "customer_segment",
+        "order_expected_amount", "total_cash_collected_amount", "total_refund_amount", "net_collected_amount",
+        "points_used", "payment_event_count", "installment_event_count", "latest_payment_status", "has_customer",
+        "has_any_payment", "has_successful_payment", "has_pending_payment", "has_refund", "is_fully_paid",
+        "is_partially_paid", "is_overpaid", "is_valid_revenue",
+    ),
+    "fact_card_points_ledger": (
+        "ledger_id", "card_id", "order_id", "event_datetime", "event_type", "points_delta",
+        "ledger_source", "customer_id", "card_status", "is_valid_card",
+    ),
+}

@@ -1,5 +1,21 @@
 """Incremental processing with Structured Streaming."""
 
-from ledgerloom.streaming.incremental import changed_keys, current_table, ingest_new_files, restrict_to_orders
+from ledgerloom.streaming.incremental import (
+    changed_keys,
+    compact,
+    current_fact_orders,
+    current_table,
+    ingest_new_files,
+    rebuild_fact_orders,
+    restrict_to_orders,
+)
 
-__all__ = ["changed_keys", "current_table", "ingest_new_files", "restrict_to_orders"]
+__all__ = [
+    "changed_keys",
+    "compact",
+    "current_fact_orders",
+    "current_table",
+    "ingest_new_files",
+    "rebuild_fact_orders",
+    "restrict_to_orders",
+]

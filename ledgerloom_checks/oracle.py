@@ -164,6 +164,7 @@ CTES: dict[str, str] = RAW_CTES | {
 }
 
 # name -> (severity, count expression as SQL, description), in report order.
+# Names, severities and descriptions are output of the report.
 CHECKS: dict[str, tuple[str, str, str]] = {
     "duplicate_orders": ("warning", f"SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM orders_master_raw WHERE {ident('order_id')} IS NOT NULL GROUP BY {ident('order_id')} HAVING COUNT(*) > 1)",
         "Rows in orders_master with a duplicated order_id (before dedup)."),
@@ -362,6 +363,7 @@ STATEMENTS["x_customer_scd2"] = f"""SELECT customer_id, segment, _ingest_seq AS
   FROM (SELECT *, lag(segment) OVER w AS before, row_number() OVER w AS n FROM ({TYPED_CUSTOMERS}) WHERE customer_id IS NOT NULL
     WINDOW w AS (PARTITION BY customer_id ORDER BY _ingest_seq)) WHERE n = 1 OR segment IS DISTINCT FROM before"""
 STATEMENTS["x_incremental_orders"] = "SELECT * FROM stg_orders_master"
+STATEMENTS["x_incremental_fact_orders"] = STATEMENTS["fact_orders"]
 
 KINDS = {
     "id": ident,

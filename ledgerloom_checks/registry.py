@@ -25,7 +25,7 @@ from ledgerloom.plans.run import run_layers, run_summary, write_facts, write_lay
 from ledgerloom.schema import PERCENT, PRICE, QUANTITY, RAW_COLUMNS
 from ledgerloom.sources import read_raw_csv, work_folder, write_table
 from ledgerloom.sources.tables import CSV_OPTIONS
-from ledgerloom.streaming import current_table, ingest_new_files
+from ledgerloom.streaming import compact, current_fact_orders, current_table, ingest_new_files, rebuild_fact_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -310,6 +310,23 @@ def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_table(spark, "orders_master", f"{folder}/state")
 
 
+def incremental_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All inputs of the order fact arrive in two drops; the second rebuilds the orders it affects."""
+    folder = work_folder(spark, "incremental-facts")
+    cells = raw_cells(spark, sf_dir, *ORDER_INPUTS)
+    later = {t: F.col("_ingest_seq") >= 100000000 for t in ORDER_INPUTS}
+    later["order_details"] = F.coalesce(F.col("quantity") == "50", F.lit(False))
+    for number in range(2):
+        for table, rows in cells.items():
+            drop = rows.where(later[table] if number else ~later[table]).select(*sorted(RAW_COLUMNS[table])[:: 1 - 2 * number])
+            drop.write.options(**CSV_OPTIONS).mode("append").csv(f"{folder}/drops/{table}")
+            ingest_new_files(spark, f"{folder}/drops/{table}", table, f"{folder}/state/{table}")
+            if not number:
+                compact(spark, table, f"{folder}/state/{table}")
+        rebuild_fact_orders(spark, f"{folder}/state")
+    return current_fact_orders(spark, f"{folder}/state")
+
+
 QUERIES: dict[str, Query] = {
     "raw_scan": raw_scan,
     "norm_numeric": norm_numeric,
@@ -353,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "x_customer_scd2": customer_history,
     "x_schema_violations": schema_violations,
     "x_incremental_orders": incremental_orders,
+    "x_incremental_fact_orders": incremental_fact_orders,
 }
 
 

@@ -11,7 +11,15 @@ from ledgerloom.plans import contract, marts, redemption
 from ledgerloom.plans.staging import build_staging, staged_frequent_keys
 from ledgerloom.schema import RAW_COLUMNS
 from ledgerloom.sources import work_folder
-from ledgerloom.streaming import changed_keys, current_table, ingest_new_files, restrict_to_orders
+from ledgerloom.streaming import (
+    changed_keys,
+    compact,
+    current_fact_orders,
+    current_table,
+    ingest_new_files,
+    rebuild_fact_orders,
+    restrict_to_orders,
+)
 
 
 def hot_events(n=3000):
@@ -34,7 +42,12 @@ def test_running_total_matches_brute_force_on_a_hot_key(spark):
 def test_a_hot_key_spans_several_chunks(spark):
     folder = work_folder(spark, "chunks")
     df = spark.createDataFrame(hot_events(), "k bigint, t bigint, v bigint")
-    running_total(df, "k", ["t"], "v", "total", folder).collect()
+    # So few rows would be one chunk; adaptive execution joins small neighbours.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        running_total(df, "k", ["t"], "v", "total", folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     chunks = spark.read.parquet(folder).groupBy("k", "_chunk").count().collect()
     assert sum(r.k == 7 for r in chunks) >= 3
     assert max(r["count"] for r in chunks) <= 700
@@ -100,6 +113,12 @@ def test_schema_violations(spark):
         ("payment_type", "unexpected"), ("payment_amount", "unreadable"),
     }
     assert counts["payment_status", "unexpected"] == 0
+    lines = [("1", "1", "p", "2000000000", "1.23456 chf", "0.5"), ("1", "2", "p", "x", None, "1e6")]
+    raw = {"order_details": raw_frame(spark, "order_details", lines)}
+    counts = {(r.column_name, r.rule): r.failed_count for r in contract.validate_raw(raw).collect()}
+    assert {k: n for k, n in counts.items() if n} == {
+        ("quantity", "out_of_range"): 1, ("quantity", "unreadable"): 1, ("unit_price", "rounded"): 1, ("discount_pct", "out_of_range"): 1,
+    }
 
 
 def drop_file(folder, name, rows):
@@ -123,6 +142,61 @@ def test_incremental_ingest_reads_new_files_only_and_keeps_the_last_row(spark, t
     assert {r.order_id for r in changed_keys(spark, "orders_master", state, after_batch=0).collect()} == {2, 3}
 
 
+def write_csv(folder, name, header, *rows):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join([header, *rows]) + "\n")
+
+
+def test_files_are_read_by_column_name_and_keep_optional_columns(spark, tmp_path):
+    raw, state = tmp_path / "raw", str(tmp_path / "state")
+    write_csv(raw, "a one.csv", "ledger_id,card_id,order_id,event_datetime,event_type,points_delta", "L1,c1,1,2026-01-01,earn,5")
+    write_csv(raw, "b.csv", "points_delta,customer_id,event_type,event_datetime,order_id,card_id,ledger_id", "7,42,redeem,2026-01-02,2,c2,L2")
+    ingest_new_files(spark, str(raw), "card_points_ledger", state)
+    write_csv(raw, "c.csv", "ledger_id,card_id,order_id,event_datetime,event_type,points_delta", "L1,c1,1,2026-01-01,earn,5")
+    ingest_new_files(spark, str(raw), "card_points_ledger", state)
+    rows = [(r.ledger_id, r.card_id, r.order_id, int(r.points_delta), r.customer_id) for r in current_table(spark, "card_points_ledger", state).collect()]
+    assert Counter(rows) == Counter([("L1", "C1", 1, 5, None), ("L2", "C2", 2, 7, 42), ("L1", "C1", 1, 5, None)])
+
+
+def test_compacted_tables_stay_what_they_were(spark, tmp_path):
+    raw, state = tmp_path / "raw", str(tmp_path / "state")
+    drop_file(raw, "a.csv", [("1", "5", "2026-01-01", "paid", "web", "chf"), ("2", "6", "2026-01-01", "paid", "web", "chf")])
+    ingest_new_files(spark, str(raw), "orders_master", state)
+    compact(spark, "orders_master", state)
+    drop_file(raw, "b.csv", [("2", "6", "2026-01-01", "cancelled", "web", "chf")])
+    ingest_new_files(spark, str(raw), "orders_master", state)
+    for _ in range(2):
+        assert {r.order_id: r.order_status for r in current_table(spark, "orders_master", state).collect()} == {1: "paid", 2: "cancelled"}
+        compact(spark, "orders_master", state)
+
+
+def test_rebuilt_facts_follow_orders_lines_payments_and_customers(spark, tmp_path):
+    state = str(tmp_path / "state")
+    headers = {t: ",".join(RAW_COLUMNS[t]) for t in ("orders_master", "order_details", "payments", "customers")}
+
+    def drop(name, **rows):
+        for table, lines in rows.items():
+            write_csv(tmp_path / table, f"{name}.csv", headers[table], *lines)
+        for table in headers:
+            ingest_new_files(spark, str(tmp_path / table), table, f"{state}/{table}")
+        rebuild_fact_orders(spark, state)
+        return {r.order_id: (r.customer_segment, int(r.order_expected_amount), r.has_any_payment) for r in current_fact_orders(spark, state).collect()}
+
+    first = drop(
+        "a",
+        orders_master=["1,5,2026-01-01,paid,web,chf", "2,6,2026-02-01,paid,web,chf", "3,6,bad,paid,web,chf"],
+        order_details=["1,1,p1,2,10,0"], payments=["1,1,2026-01-02,card,success,20,,"], customers=["5,n,b2b,c,d,e", "6,n,vip,c,d,e"],
+    )
+    assert first == {1: ("B2B", 20, True), 2: ("VIP", 0, False), 3: ("VIP", 0, False)}
+    second = drop(
+        "b", orders_master=["3,NA,bad,paid,web,chf"], order_details=["2,1,p1,1,7,0"],
+        payments=["2,2,2026-02-02,card,success,7,,"], customers=["5,n,vip,c,d,e"],
+    )
+    assert second == {1: ("VIP", 20, True), 2: ("VIP", 7, True)}
+    months = spark.read.parquet(f"{state}/fact_orders/changes").select("partition_month").distinct().count()
+    assert months == 3  # two months and the unknown one
+
+
 def test_affected_orders_rebuild_like_the_whole_table(spark):
     from ledgerloom_checks.raw_inputs import raw_tables
     from conftest import SMALL
