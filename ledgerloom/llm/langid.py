@@ -28,7 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,13 +162,13 @@ def training_sample(
     labelled: DataFrame, key: str, text: str, language: str, texts_per_language: int, windows: int, window_words: int
 ) -> list[tuple[str, list[str]]]:
     """At most ``texts_per_language * windows`` stretches of words per language, in a fixed order."""
-    from pyspark.sql import Window
-
     usable = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
     ids = usable.select(F.col(key).alias("_id"), F.col(language).alias("_lang"))
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
     chosen = ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= texts_per_language)
-    texts = usable.join(chosen.select("_id", "_lang").distinct(), (F.col(key) == F.col("_id")) & (F.col(language) == F.col("_lang")))
+    # As many ids as the sample's bound: the texts are not shuffled to find them.
+    wanted = F.broadcast(chosen.select("_id", "_lang").distinct())
+    texts = usable.join(wanted, (F.col(key) == F.col("_id")) & (F.col(language) == F.col("_lang")))
     words = F.split(F.lower(F.trim(F.col(text))), r"\s+")
 
     def stretch(j: Column) -> Column:
