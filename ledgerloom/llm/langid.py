@@ -37,7 +37,7 @@ TEXTS_PER_LANGUAGE, WINDOWS, WINDOW_WORDS = 300, 4, 40
 # Hashed n-gram and affix weights per language; words of the lexicon.
 BUCKETS, LEXICON_WORDS, LEXICON_LEAST = 1 << 17, 20_000, 3
 ROUNDS, RATE, DECAY = 40, 0.3, 1e-4
-STRETCH, CHARACTERS_AT_ONCE = 4096, 4 << 20
+STRETCH, CHARACTERS_AT_ONCE = 1024, 3 << 19
 
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -163,10 +163,14 @@ def training_sample(
 ) -> list[tuple[str, list[str]]]:
     """At most ``texts_per_language * windows`` stretches of words per language, in a fixed order."""
     usable = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
-    ids = usable.select(F.col(key).alias("_id"), F.col(language).alias("_lang"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= texts_per_language)
-    # As many ids as the sample's bound: the texts are not shuffled to find them.
+    ids = usable.select(F.col(key).alias("_id"), F.col(language).alias("_lang"), F.xxhash64(key).alias("_hash"))
+    # Hashes are spread evenly, so the smallest of a language lie below a few times their share of the range.
+    counts = F.broadcast(ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_rows")))
+    share = F.lit(float(4 * texts_per_language)) / F.col("_rows")
+    small = ids.join(counts, "_lang").where((F.col("_hash") / F.lit(2.0**64) + 0.5 <= share) | (F.col("_rows") <= 8 * texts_per_language))
+    order = Window.partitionBy("_lang").orderBy("_hash", "_id")
+    chosen = small.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= texts_per_language)
+    # At most the sample's bound of ids: the texts are not shuffled to find them.
     wanted = F.broadcast(chosen.select("_id", "_lang").distinct())
     texts = usable.join(wanted, (F.col(key) == F.col("_id")) & (F.col(language) == F.col("_lang")))
     words = F.split(F.lower(F.trim(F.col(text))), r"\s+")
