@@ -365,6 +365,24 @@ STATEMENTS["x_customer_scd2"] = f"""SELECT customer_id, segment, _ingest_seq AS
 STATEMENTS["x_incremental_orders"] = "SELECT * FROM stg_orders_master"
 STATEMENTS["x_incremental_fact_orders"] = STATEMENTS["fact_orders"]
 
+STATEMENTS["norm_datetime_formats"] = STATEMENTS["norm_datetime"]
+STATEMENTS["points_default_tiers"] = STATEMENTS["tier_lookup"]
+STATEMENTS["orders_from_files"] = STATEMENTS["stg_orders_master"]
+STATEMENTS["written_fact_orders"] = STATEMENTS["fact_orders"]
+STATEMENTS["tier_lookup_many"] = """WITH tiers AS (
+  SELECT MIN(CAST(o_totalprice AS DECIMAL(18,4))) AS low, CASE WHEN o_custkey % 7 <> 0 THEN MAX(CAST(o_totalprice AS DECIMAL(18,4))) END AS high,
+    COUNT(*) AS points FROM orders GROUP BY o_custkey
+), amounts AS (
+  SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,4)) + CAST(0.00005 AS DECIMAL(18,5)) * (o_orderkey % 2) AS amount FROM orders
+)
+SELECT o_orderkey, CAST(coalesce(points, 0) AS DOUBLE) AS points_delta
+FROM amounts LEFT JOIN tiers ON low <= amount AND (high IS NULL OR amount <= high)
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY low DESC, high DESC NULLS LAST, points DESC) = 1"""
+STATEMENTS["ledger_own_owner"] = f"""SELECT l.ledger_id, l.card_id, l.order_id, l.event_datetime, l.event_type, {money('l.points_delta')} AS points_delta,
+  'raw' AS ledger_source, c.card_status,
+  coalesce(CASE WHEN l.event_type = 'redeem' THEN TRY_CAST(regexp_extract(l.card_id, '\\d+') AS BIGINT) END, c.customer_id) AS customer_id
+  FROM stg_card_points_ledger l LEFT JOIN stg_customer_cards c ON l.card_id = c.card_id"""
+
 KINDS = {
     "id": ident,
     "datetime": moment,

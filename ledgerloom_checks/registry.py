@@ -21,7 +21,7 @@ from ledgerloom.functions import (
 )
 from ledgerloom.operators import dedup_exact, dedup_latest, require_keys, tier_lookup
 from ledgerloom.plans import analytics, contract, history, loyalty, marts, quality, redemption, staging
-from ledgerloom.plans.run import run_layers, run_summary, write_facts, write_layer, write_staging
+from ledgerloom.plans.run import MONTH, run_layers, run_summary, write_facts, write_layer, write_staging
 from ledgerloom.schema import PERCENT, PRICE, QUANTITY, RAW_COLUMNS
 from ledgerloom.sources import read_raw_csv, work_folder, write_table
 from ledgerloom.sources.tables import CSV_OPTIONS
@@ -71,6 +71,13 @@ def norm_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def norm_datetime_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same dates written day first, read by a format."""
+    day_first = F.regexp_replace("order_date", r"^(\d+)-(\d+)-(\d+)$", "$3.$2.$1")
+    raw = _raw(spark, sf_dir, "orders_master").withColumn("order_date", day_first)
+    return raw.select("order_id", datetime_value("order_date", ["dd.MM.yyyy", "yyyy/MM/dd"]).alias("order_date"))
+
+
 def norm_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "orders_master").select(
         "_ingest_seq",
@@ -194,6 +201,54 @@ def fact_card_points_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ledger(marts.build_fact_orders(stg, frequent), stg, frequent)
 
 
+def tier_lookup_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tier per customer, from their smallest to their largest order, some of them open: they nest and reach far."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    total = F.col("o_totalprice").cast("decimal(18,4)")
+    tiers = orders.groupBy("o_custkey").agg(
+        F.min(total).alias("min_amount"),
+        F.when(F.col("o_custkey") % 7 != 0, F.max(total)).alias("max_amount"),
+        F.count(F.lit(1)).cast("decimal(18,4)").alias("points_awarded"),
+    )
+    amounts = orders.select("o_orderkey", (total + F.lit("0.00005").cast("decimal(18,5)") * (F.col("o_orderkey") % 2)).alias("amount"))
+    return tier_lookup(amounts, "amount", tiers).select("o_orderkey", "points_delta")
+
+
+def points_default_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points by the thresholds of the raw folder, which are the default."""
+    folder = work_folder(spark, "tiers")
+    cells = raw_cells(spark, sf_dir, "points_thresholds")["points_thresholds"]
+    write_table(cells.select(*RAW_COLUMNS["points_thresholds"]), f"{folder}/points_thresholds.csv", "csv")
+    orders = marts.build_fact_orders(*_inputs(spark, sf_dir, *ORDER_INPUTS)).select("order_id", "order_expected_amount")
+    return loyalty.points_for_amounts(orders, "order_expected_amount", raw_folder=folder)
+
+
+def ledger_own_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events of a ledger that names the owner of some cards itself."""
+    raw = raw_tables(spark, sf_dir, "card_points_ledger", "customer_cards")
+    own = F.when(F.col("event_type") == "redeem", F.regexp_extract("card_id", r"(\d+)", 1))
+    raw["card_points_ledger"] = raw["card_points_ledger"].withColumn("customer_id", own)
+    stg = staging.build_staging(raw)
+    events = stg["stg_card_points_ledger"]
+    return loyalty.raw_events(events, stg["stg_customer_cards"], staging.frequent_keys(events, "card_id"))
+
+
+def orders_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged orders by the arrival order of files: what was sent again lies in a later file."""
+    folder = f"{work_folder(spark, 'files')}/orders_master.csv"
+    cells = raw_cells(spark, sf_dir, "orders_master")["orders_master"]
+    resent = F.col("_ingest_seq") >= 100000000
+    for drop in (cells.where(~resent), cells.where(resent)):
+        drop.select(*RAW_COLUMNS["orders_master"]).write.options(**CSV_OPTIONS).mode("append").csv(folder)
+    return staging.stg_orders_master(read_raw_csv(spark, folder, "orders_master"))
+
+
+def written_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact as the run writes it, by month, and reads it back."""
+    facts = {"fact_orders": fact_orders(spark, sf_dir)}
+    return write_layer(spark, facts, work_folder(spark, "written"))["fact_orders"].drop(MONTH)
+
+
 # Analytics and quality
 
 
@@ -331,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "raw_scan": raw_scan,
     "norm_numeric": norm_numeric,
     "norm_datetime": norm_datetime,
+    "norm_datetime_formats": norm_datetime_formats,
     "norm_lower": norm_lower,
     "norm_upper": norm_upper,
     "norm_title": norm_title,
@@ -355,6 +411,11 @@ QUERIES: dict[str, Query] = {
     "latest_payment_status": latest_payment_status,
     "fact_orders": fact_orders,
     "tier_lookup": query_tier_lookup,
+    "tier_lookup_many": tier_lookup_many,
+    "points_default_tiers": points_default_tiers,
+    "orders_from_files": orders_from_files,
+    "written_fact_orders": written_fact_orders,
+    "ledger_own_owner": ledger_own_owner,
     "ledger_computed_earn": ledger_computed_earn,
     "fact_card_points_ledger": fact_card_points_ledger,
     "card_balance": card_balance,
