@@ -8,20 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def frequent_keys(df: DataFrame, key: str) -> DataFrame:
-    """``(key, _fan)`` for keys that hold more than one shuffle partition's share of the rows.
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """``(key, _rows)`` for every key that is not null; rows are counted per task before the shuffle."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
-    The counts are exact, summed per task before the shuffle, so every evaluation gives the same list; fewer
-    keys than there are shuffle partitions can exceed one share. ``_fan`` is the number of shares the key has.
-    The list only steers where rows go, never which rows are joined.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+
+def frequent_of(counts: DataFrame, key: str) -> DataFrame:
+    """:func:`frequent_keys` from counts that are needed anyway."""
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = counts.agg(F.sum("_rows")).scalar()
     shares = F.col("_rows") * F.lit(partitions) / total
     return counts.where(shares > 1).select(key, F.ceil(shares).cast("int").alias("_fan"))
 
 
+def frequent_keys(df: DataFrame, key: str) -> DataFrame:
+    """``(key, _fan)`` for keys that hold more than one shuffle partition's share of the rows.
+
+    The counts are exact, so every evaluation gives the same list; fewer keys than there are shuffle partitions can
+    exceed one share. ``_fan`` is the number of shares the key has. The list only steers where rows go, never which
+    rows are joined.
+    """
+    return frequent_of(key_counts(df, key), key)
+
+
 def spread_join(
     facts: DataFrame,
     lookup: DataFrame,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import frequent_keys, spread_join
+from ledgerloom.operators.skew import frequent_keys, frequent_of, key_counts, spread_join
 
 # Tier bounds are decimal(18,4): their positions lie well within half of this on either side of zero.
 SPAN = 1 << 62
@@ -76,10 +76,9 @@ def tier_lookup(rows: DataFrame, amount: str, tiers: DataFrame, points: str = "p
     blocks = tier_blocks(tiers)
     # The sizes in use, a list of at most all sizes.
     sizes = blocks.agg(F.collect_set("block.size")).scalar()
+    counts = key_counts(rows, amount)
     amounts = (
-        rows.select(amount)
-        .where(F.col(amount).isNotNull())
-        .distinct()
+        counts.select(amount)
         .withColumn("_position", position(F.col(amount)))
         .withColumn("_size", F.explode(sizes))
         .select(
@@ -93,5 +92,5 @@ def tier_lookup(rows: DataFrame, amount: str, tiers: DataFrame, points: str = "p
         .agg(F.max("step").alias("_step"))
         .select(amount, F.col("_step.points_awarded").alias(points))
     )
-    keyed = spread_join(rows, winners, amount, frequent_keys(rows, amount), rows.columns)
+    keyed = spread_join(rows, winners, amount, frequent_of(counts, amount), rows.columns)
     return keyed.select(*rows.columns, F.coalesce(points, F.lit(0)).alias(points))
