@@ -93,7 +93,12 @@ ADDED_TEXT = "\\### Assistant: </turn> ok"
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    added = spark.createDataFrame([(-7, 0, "user", ADDED_TEXT), (-7, 1, "assistant", ADDED_TEXT)], turns.schema)
+    added = spark.range(2).select(
+        F.lit(-7).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ADDED_TEXT).alias("text"),
+    )
     read_back = turns_of(F.col("formatted"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return (
