@@ -37,7 +37,7 @@ TEXTS_PER_LANGUAGE, WINDOWS, WINDOW_WORDS = 300, 4, 40
 # Hashed n-gram and affix weights per language; words of the lexicon.
 BUCKETS, LEXICON_WORDS, LEXICON_LEAST = 1 << 17, 20_000, 3
 ROUNDS, RATE, DECAY = 40, 0.3, 1e-4
-STRETCH, CHARACTERS_AT_ONCE = 1024, 3 << 19
+STRETCH, CHARACTERS_AT_ONCE = 1024, 1 << 20
 
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
