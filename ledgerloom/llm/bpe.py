@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-REMEMBERED = 80_000
+REMEMBERED = 120_000
 
 # The word pattern of the tokenizer file, with its white-space class spelled out.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
