@@ -283,6 +283,36 @@ def test_repeats_equal_plain_search(spark, sizes):
     assert runindex.remove_repeats(docs.limit(0), keep=["doc_id"], **sizes).count() == 0
 
 
+def test_short_constant_in_few_long_documents(spark, monkeypatch):
+    """A constant piece among varying text must not bring all the text around it to one bucket."""
+    rng = random.Random(23)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    # Of many candidates the one of the smallest hash is the anchor of nearly every string that holds it.
+    constant = min(("".join(rng.choices(letters, k=16)) for _ in range(5000)), key=lambda c: runindex.piece_hashes(np.frombuffer(c.encode(), np.uint8))[0])
+    repeated = ["".join(rng.choices(letters, k=40)) + constant + "".join(rng.choices(letters, k=40)) for _ in range(3)]
+    rows = []
+    for i in range(4):
+        lines = [constant + "".join(rng.choices(letters, k=44)) for _ in range(3000)]
+        for at in rng.sample(range(3000), 9):
+            lines[at] = rng.choice(repeated)
+        rows.append((i, "".join(lines)))
+    sent = []
+    answer = runindex.answer_stretches
+
+    def spied(questions, partitions, length):
+        for r in questions.collect():
+            sent.append((r.bucket, len(runindex.expand(bytes(r.data)))))
+        return answer(questions, partitions, length)
+
+    monkeypatch.setattr(runindex, "answer_stretches", spied)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in runindex.remove_repeats(docs, keep=["doc_id"]).collect()]
+    assert by_key(got) == by_key(plain_removal(rows))
+    assert sum(r[2] for r in got) > 1000
+    by_bucket = {b: sum(n for c, n in sent if c == b) for b, _ in sent}
+    assert max(by_bucket.values()) < runindex.INDEX_BYTES
+
+
 def test_statistics_come_from_few_samples():
     """A text of many copies has far fewer samples than places, and the streamed matches are those of all suffixes."""
     text = b"abracadabra" * 40
