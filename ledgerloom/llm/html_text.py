@@ -4,8 +4,11 @@ The standard library's parser streams events over the whole page. A line is what
 tags; its ratio is its characters over its tags. The ratios are smoothed along the page, and lines are gathered into
 regions: an article (or the main element) is one region, elsewhere each enclosing container is one. A region is
 content if its best smoothed line reaches the threshold, the standard deviation of the smoothed ratios; the best
-region always is. A content region is kept whole, so short paragraphs among long ones are not lost. Where a page
-marks articles (else a main element), only those regions compete.
+region always is. A content region is kept whole, so short paragraphs among long ones are not lost. Lines between two
+content regions of one parent stay if they lie in that parent and are shorter than the content on either side taken together, or
+hold no link; so do lists, tables and quotations without links at either end of a content region that holds them.
+Where a page marks articles (else a main element), the marks override this: only those regions compete, and one alone
+is kept whatever its ratios.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out where
 the page marks them, by element, role or a word of a class or id.
@@ -48,6 +51,8 @@ ASIDE_WORDS = frozenset(
 CONTAINERS = frozenset("article blockquote body div dl main ol section table td ul".split())
 # Elements whose start ends an open paragraph, as browsers do.
 PARAGRAPH_ENDS = BLOCKS - {"option", "select"}
+# Those of them that are part of the text around them.
+STRUCTURES = frozenset("blockquote dl ol table td ul".split())
 SIGMA = 1.0
 
 WORD = re.compile("[a-z0-9]+")
@@ -77,11 +82,14 @@ class Lines(HTMLParser):
         self.texts: list[str] = []
         self.tags: list[int] = []
         self.regions: list[tuple[int, int]] = []
+        self.links: list[bool] = []
+        # Element and enclosing region's number of each region; the page itself is number 0.
+        self.nested: list[tuple[str, int]] = [("", -1)]
         # Open elements: tag, whether it hides or sets aside what it holds, kind and number of its region.
         self.open: list[tuple[str, bool, tuple[int, int]]] = [("", False, (0, 0))]
         self.pieces: list[str] = []
         self.n_tags = 0
-        self.n_regions = 0
+        self.linked = False
 
     def end_line(self) -> None:
         """Blank lines have no ratio; what is set aside has no line."""
@@ -91,8 +99,10 @@ class Lines(HTMLParser):
                 self.texts.append(text)
                 self.tags.append(max(1, self.n_tags))
                 self.regions.append(self.open[-1][2])
+                self.links.append(self.linked)
             self.pieces = []
         self.n_tags = 0
+        self.linked = any(tag == "a" for tag, _, _ in self.open)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -101,6 +111,7 @@ class Lines(HTMLParser):
                 self.close_paragraph()
         _, out, region = self.open[-1]
         self.n_tags += 1
+        self.linked = self.linked or tag == "a"
         if tag in VOID:
             if tag == "br" and not out:
                 self.pieces.append(" ")
@@ -109,8 +120,8 @@ class Lines(HTMLParser):
         out = out or tag in HIDDEN or is_aside(tag, attrs)
         kind = 2 if tag == "article" else 1 if tag == "main" else 0
         if kind > region[0] or kind == region[0] == 0 and tag in CONTAINERS:
-            self.n_regions += 1
-            region = (kind, self.n_regions)
+            self.nested.append((tag, region[1]))
+            region = (kind, len(self.nested) - 1)
         self.open.append((tag, out, region))
 
     def close_paragraph(self) -> None:
@@ -159,6 +170,40 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]
 
 
+def within(lines: Lines, line: int, outer: int, only: frozenset[str] | None = None) -> bool:
+    """Whether a line's region is ``outer`` or inside it, with no other elements than ``only`` on the way."""
+    region = lines.regions[line][1]
+    while region > outer and (only is None or lines.nested[region][0] in only):
+        region = lines.nested[region][1]
+    return region == outer
+
+
+def common_parent(lines: Lines, a: int, b: int) -> int | None:
+    """The region that holds lines ``a`` and ``b``, if it is one of theirs or the parent of both."""
+    x, y = lines.regions[a][1], lines.regions[b][1]
+    up_x, up_y = lines.nested[x][1], lines.nested[y][1]
+    return x if x == y or x == up_y else y if y == up_x else up_x if up_x == up_y else None
+
+
+def fill(lines: Lines, kept: np.ndarray) -> np.ndarray:
+    """The kept lines, and those among or beside them that belong to the same text."""
+    sizes = np.array([len(t) for t in lines.texts])
+    edges = np.flatnonzero(np.diff(np.r_[False, kept, False].astype(np.int8))).reshape(-1, 2).tolist()
+    result = kept.copy()
+    for (start, a), (z, end) in zip(edges, edges[1:], strict=False):
+        parent = common_parent(lines, a - 1, z)
+        if parent is not None and all(within(lines, i, parent) for i in range(a, z)):
+            short = sizes[a:z].sum() < sizes[start:a].sum() + sizes[z:end].sum()
+            result[a:z] = short or not any(lines.links[a:z])
+    for start, end in edges:
+        for first, way in ((start - 1, -1), (end, 1)):
+            owner, i = lines.regions[first - way][1], first
+            while 0 <= i < len(kept) and not result[i] and not lines.links[i] and within(lines, i, owner, STRUCTURES):
+                result[i] = True
+                i += way
+    return result
+
+
 def main_text(html: str) -> str:
     # A tag that the end of the page cuts off is no text.
     last = html.rfind("<")
@@ -177,7 +222,10 @@ def main_text(html: str) -> str:
             best[region] = max(best.get(region, 0.0), ratio)
     threshold = min(float(np.std(ratios)), max(best.values()))
     chosen = {region for region, ratio in best.items() if ratio >= threshold}
-    return "\n\n".join(t for t, region in zip(lines.texts, lines.regions, strict=True) if region in chosen)
+    kept = np.array([region in chosen for region in lines.regions])
+    if not marked:
+        kept = fill(lines, kept)
+    return "\n\n".join(t for t, keep in zip(lines.texts, kept, strict=True) if keep)
 
 
 def extract_text(pages: DataFrame, html: str = "html", keep: Sequence[str] = (), text: str = "text") -> DataFrame:

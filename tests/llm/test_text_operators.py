@@ -68,6 +68,36 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+def page_of(*parts):
+    """A page without article or main: its elements, and the texts in them."""
+    return "<body>" + "".join(parts) + "</body>"
+
+
+LONG = [f"<p>{i} " + "sentence of the article " * 25 + "</p>" for i in range(6)]
+ITEMS = "".join(f"<li>list item {i} of thirty characters</li>" for i in range(10))
+ROWS = "<table>" + "".join(f"<tr><td>cell {i}</td><td>{i * i}</td></tr>" for i in range(12)) + "</table>"
+MENU = "<ul>" + "".join(f"<li><a href='/{i}'>page {i}</a></li>" for i in range(30)) + "</ul>"
+
+
+def test_unmarked_pages_keep_their_lists():
+    for short in (f"<ul>{ITEMS}</ul>", f"<div><ol>{ITEMS}</ol></div>", ROWS, "<section><h2>Title</h2></section>", "<dl><dt>term<dd>meaning</dl>"):
+        texts = main_text(page_of(*LONG[:3], short, *LONG[3:]))
+        assert len(texts.split("\n\n")) == 6 + len(main_text(page_of(f"<article>{short}</article>")).split("\n\n"))
+    # At the end and within a container; siblings of one parent.
+    assert "list item 9" in main_text(page_of("<div>", *LONG, f"<ul>{ITEMS}</ul></div>"))
+    assert "cell 11" in main_text(page_of("<div>", ROWS, *LONG, "</div>"))
+    apart = [f"<div>{p}</div>" for p in LONG]
+    assert "list item 9" in main_text(page_of(*apart[:3], f"<div><ul>{ITEMS}</ul></div>", *apart[3:]))
+    # Lists of links before and after the text still go, where smoothing doesn't reach them.
+    apart = "<h2>a</h2><p>b</p><p>c</p><p>d</p>"
+    assert main_text(page_of(MENU, apart, *LONG, apart, MENU)) == main_text(page_of(apart, *LONG, apart))
+
+
+def test_article_marks_override_ratios():
+    """One article is kept whole whatever its ratios, and nothing beside it."""
+    assert main_text(page_of(*LONG, f"<article><ul>{ITEMS}</ul></article>")).split("\n\n") == [f"list item {i} of thirty characters" for i in range(10)]
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, None, "u"), (2, "<p>" + "word " * 50_000, None)], "page_id int, html string, text string")
     got = extract_text(pages, keep=["page_id", "text"]).collect()
