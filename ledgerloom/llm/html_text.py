@@ -11,7 +11,10 @@ Where a page marks articles (else a main element), the marks override this: only
 is kept whatever its ratios.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out where
-the page marks them, by element, role or a word of a class or id.
+the page marks them, by element, role, or a class or id that is one of the known words or joins them with words that
+only say where or what kind of part it is ("cookie-notice", "site-header", "ad-300x250"). Ids of headings, terms and inline
+elements are names of places in the text and are not looked at; the page, its body and main element are never left out, an
+article only as a reader's comment.
 
 A map over rows without a shuffle. Defined results: a null or empty page has an empty text; character references are
 decoded; white space inside a block, line breaks and no-break spaces included, is one space; blocks are joined by an
@@ -47,6 +50,15 @@ ASIDE_WORDS = frozenset(
     "newsletter notice notices notification pagination popup promo promoted promotion related replies respond share "
     "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that may stand beside them in one class or id.
+PART_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons card center column container div entry form global google gpt group "
+    "icon icons id inner item items label large left leaderboard link links list main message module mobile outer page pane "
+    "panel posts primary right secondary section site slot small sticky sub text title top unit wrap wrapper".split()
+)
+# Parts of an article that are aside although an article's header is not.
+ARTICLE_PART = re.compile("(article|blog|entry|post) (meta )?(ad|ads|breadcrumbs?|comments?|nav|navigation|pagination|related|share|sharing|social)")
+HEADINGS = frozenset("dt h1 h2 h3 h4 h5 h6".split())
 # Containers that may be a region of their own outside of articles.
 CONTAINERS = frozenset("article blockquote body div dl main ol section table td ul".split())
 # Elements whose start ends an open paragraph, as browsers do.
@@ -56,19 +68,35 @@ STRUCTURES = frozenset("blockquote dl ol table td ul".split())
 SIGMA = 1.0
 
 WORD = re.compile("[a-z0-9]+")
+SIZE = re.compile("[0-9]+(x[0-9]+)?")
+COMMENT_WORDS = frozenset(["comment", "commentlist", "comments"])
 CAMEL = re.compile("(?<=[a-z0-9])(?=[A-Z])")
 
 
+def marks_aside(token: str, asides: frozenset[str] = ASIDE_WORDS) -> bool:
+    """Whether a class or id is made of words that set aside and words for parts of a page."""
+    words = [w.rstrip("0123456789") for w in WORD.findall(CAMEL.sub(" ", token).lower()) if not SIZE.fullmatch(w)]
+    if asides.isdisjoint(words):
+        return False
+    rest = [w for w in words if w not in asides and w not in PART_WORDS]
+    if not rest and words[0] not in ("entry", "post"):
+        return True
+    return asides is ASIDE_WORDS and ARTICLE_PART.fullmatch(" ".join(words)) is not None
+
+
 def is_aside(tag: str, attributes: Sequence[tuple[str, str | None]]) -> bool:
     if tag in ASIDE:
         return True
+    if tag in ("html", "body", "main"):
+        return False
+    asides = COMMENT_WORDS if tag == "article" else ASIDE_WORDS
     for name, value in attributes:
         if not value:
             if name == "hidden":
                 return True
-        elif name in ("class", "id"):
-            if not ASIDE_WORDS.isdisjoint(WORD.findall(CAMEL.sub(" ", value).lower())):
-                return tag not in ("html", "body", "main", "article") or name == "class" and "comment" in value.lower()
+        elif name == "class" or name == "id" and tag in BLOCKS and tag not in HEADINGS:
+            if any(marks_aside(token, asides) for token in value.split()):
+                return True
         elif name == "role" and value.strip().lower() in ASIDE_ROLES:
             return True
     return False

@@ -98,6 +98,45 @@ def test_article_marks_override_ratios():
     assert main_text(page_of(*LONG, f"<article><ul>{ITEMS}</ul></article>")).split("\n\n") == [f"list item {i} of thirty characters" for i in range(10)]
 
 
+@pytest.mark.parametrize(
+    "kept",
+    [
+        "<h2 id='Social_structure'>t</h2>",
+        "<h3 id='ad-networks'>t</h3>",
+        "<h2 id='comments'>t</h2>",
+        "<p><a id='related'>t</a></p>",
+        "<section id='related-work'><p>t</p></section>",
+        "<div class='post-header'><h1>t</h1></div>",
+        "<div class='entry-header'><h1>t</h1></div>",
+        "<div class='has-sidebar no-comments'><p>t</p></div>",
+    ],
+)
+def test_names_in_the_article_are_no_marks(kept):
+    assert main_text(f"<body><article><p>one</p>{kept}<p>two</p></article></body>") == "one\n\nt\n\ntwo"
+    assert main_text(f"<body>{LONG[0]}{kept}{LONG[1]}</body>").split("\n\n")[1] == "t"
+
+
+@pytest.mark.parametrize(
+    "mark",
+    ["class='ad'", "class='x cookie-notice'", "class='site-header'", "id='div-gpt-ad-12345'", "class='ad-300x250'", "class='sidebar2'",
+     "class='shareButtons'", "class='post-navigation'", "id='comments'", "class='widget widget_recent'", "role='navigation'", "hidden"],
+)
+def test_marks_set_aside(mark):
+    assert main_text(f"<body><article><p>one</p><div {mark}><p>no</p></div><p>two</p></article></body>") == "one\n\ntwo"
+
+
+def test_page_and_main_are_never_set_aside():
+    for page in (
+        "<body class='comments-open'><p>t</p></body>",
+        "<html class='comment'><body id='menu'><p>t</p></body></html>",
+        "<main class='has-comments'><p>t</p></main>",
+        "<article class='post has-comments'><p>t</p></article>",
+    ):
+        assert main_text(page) == "t"
+    reader = "<article class='comment-body'><p>a reader</p></article>"
+    assert main_text(f"<article><p>t</p></article>{reader}") == "t"
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, None, "u"), (2, "<p>" + "word " * 50_000, None)], "page_id int, html string, text string")
     got = extract_text(pages, keep=["page_id", "text"]).collect()
