@@ -22,15 +22,16 @@ an empty table gives an empty table; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm.components import components
 from ledgerloom.operators import frequent_keys, spread_join
@@ -63,16 +64,19 @@ def fingerprint(text: str, words: int) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fingerprint)``, the 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, words: int, key: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``(key, fingerprint)``, the 64 bits as a signed number, and the ``keep`` columns."""
+    kept = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py() or "", words) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["key", "fingerprint"])
+            columns = [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, fingerprint bigint")
+    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("fingerprint", T.LongType()), *kept])
+    asked = [docs[c].alias(f"_{i}") for i, c in enumerate([key, text, *keep])]
+    return docs.select(*asked).mapInArrow(run, schema)
 
 
 # The covering code
@@ -252,18 +256,13 @@ def link_fingerprints(prints: DataFrame, threshold: int, crowded: int = CROWDED)
     return quiet.union(link_points(dense))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    words: int = 3,
-    threshold: int = 2,
-    key: str = "doc_id",
-    text: str = "text",
-    crowded: int = CROWDED,
+def grouped(
+    docs: DataFrame, words: int, threshold: int, key: str, text: str, crowded: int, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``(key, fingerprint, component_id)``: the component is named by its smallest key."""
+    """``(key, fingerprint, root, component_id)`` and the ``keep`` columns: the root tells components apart."""
     spark = docs.sparkSession
     folder = work_folder(spark, "simhash")
-    fingerprints(docs, words, key, text).write.parquet(folder)
+    fingerprints(docs, words, key, text, keep).write.parquet(folder)
     prints = spark.read.parquet(folder)
     distinct = prints.groupBy("fingerprint").agg(F.min("key").alias("first"))
     roots = components(link_fingerprints(distinct, threshold, crowded))
@@ -271,11 +270,40 @@ def near_duplicates(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    lookup = placed.join(names, "root").select("fingerprint", "component_id")
-    joined = spread_join(prints, lookup, "fingerprint", frequent_keys(prints, "fingerprint"), ["key"])
+    lookup = placed.join(names, "root").select("fingerprint", "root", "component_id")
+    return spread_join(prints, lookup, "fingerprint", frequent_keys(prints, "fingerprint"), ["key"])
+
+
+def near_duplicates(
+    docs: DataFrame,
+    words: int = 3,
+    threshold: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
+    crowded: int = CROWDED,
+) -> DataFrame:
+    """``(key, fingerprint, component_id)``: the component is named by its smallest key."""
+    joined = grouped(docs, words, threshold, key, text, crowded)
     return joined.select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
+def one_of_each(
+    docs: DataFrame,
+    words: int = 3,
+    threshold: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
+    crowded: int = CROWDED,
+) -> DataFrame:
+    """One row of each component, of the smallest key and then text; rows without a key come last.
+
+    The columns of ``docs`` must not be named as those of :func:`grouped`.
+    """
+    rows = grouped(docs, words, threshold, key, text, crowded, docs.columns)
+    best = Window.partitionBy("root").orderBy(F.col("key").asc_nulls_last(), text)
+    return rows.withColumn("_copy", F.row_number().over(best)).where("_copy = 1").select(*docs.columns)
+
+
 def hexadecimal(value: str):
     """A signed 64-bit number as 16 lowercase digits."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))

@@ -333,6 +333,17 @@ def test_statistics_come_from_few_samples():
 # Pipeline
 
 
+def test_one_row_of_each_group(spark):
+    a, b, c, d = (" ".join(f"{name}{j}" for j in range(60)) for name in ("alpha", "beta", "gamma", "delta"))
+    rows = [(1, a, "x"), (2, a, "x"), (3, b, "x"), (3, c, "x"), (1, d, "x"), (4, d, "x"), (None, a, "x"), (None, "lone " + b[::-1], "x")]
+    rows += [(None, "lone " + b[::-1], "x"), (None, c[::-1], "x"), (7, c[::-1], "x"), (None, a[::-1], "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, component_id string").repartition(3)
+    got = corpus_pipeline.near_duplicate_groups(spark, docs, "")
+    assert got.columns == docs.columns
+    expected = [(1, a), (3, b), (3, c), (1, d), (None, "lone " + b[::-1]), (7, c[::-1]), (None, a[::-1])]
+    assert by_key((r.doc_id, r.text) for r in got.collect()) == by_key(expected)
+
+
 def test_pipeline(spark):
     rows = [(i, " ".join(f"{w}{i}" for w in ("the", "of", "and", "with")) + " " + " ".join(f"word{i}x{j}" for j in range(40)), "en", f"s{i % 3}") for i in range(30)]
     shared = " a passage that several of the documents hold in the very same words, long enough to be found"
