@@ -109,5 +109,70 @@ FROM judged
 """
 
 
+# Filters A to E are bits 1 to 16 of a document's mask.
+OP11 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+), flags AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN t.doc_id > first THEN 16 ELSE 0 END AS mask,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM texts t LEFT JOIN flags f ON t.doc_id = f.doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM masks GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(name, bit)
+), orders AS (
+  SELECT concat(a.name, b.name, c.name, d.name, e.name) AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, i AS step, bits[i] AS bit, coalesce(list_sum(bits[1:i - 1]), 0) AS before
+  FROM orders, range(1, 6) AS r(i)
+), measured AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT part, mask, n, good, toxic, filter_order, step, bit, CAST(before AS INT) AS before FROM counts, steps)
+  GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM measured
+"""
+
+# Exact search; the approximate one finds the same on the small tables.
+OP12 = """
+WITH usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4, "op6_mix": OP6, "op8_chat": OP8, "op10_quality": OP10}
+    return {
+        "op4_warc": OP4, "op6_mix": OP6, "op8_chat": OP8, "op10_quality": OP10, "op11_audit": OP11, "op12_onebit": OP12,
+    }

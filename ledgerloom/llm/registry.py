@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.audit import audit_filters
 from ledgerloom.llm.bpe import encode_texts
 from ledgerloom.llm.cascade import judge_documents
 from ledgerloom.llm.chat import format_conversations, learned_texts, turns_of
@@ -15,8 +16,10 @@ from ledgerloom.llm.html_text import extract_text
 from ledgerloom.llm.langid import held_out, identify_languages, learn_languages
 from ledgerloom.llm.lz import edited_neighbours
 from ledgerloom.llm.mixing import mix_sources
+from ledgerloom.llm.onebit import nearest
 from ledgerloom.llm.runindex import remove_repeats
 from ledgerloom.llm.simhash import hexadecimal, near_duplicates
+from ledgerloom.llm.spelling import group_spellings
 from ledgerloom.llm.warc import ID, read_archives, with_revisits, write_archives
 from ledgerloom.sources import work_folder
 
@@ -141,5 +144,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return audit_filters(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op12_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_langid, op2_html, op3_lz, op4_warc, op5_bpe, op6_mix, op7_runindex, op8_chat, op9_simhash, op10_quality)}
+    built = (
+        op1_langid, op2_html, op3_lz, op4_warc, op5_bpe, op6_mix, op7_runindex, op8_chat, op9_simhash, op10_quality,
+        op11_audit, op12_onebit, op13_spelling,
+    )
+    return {f.__name__: f for f in built}
