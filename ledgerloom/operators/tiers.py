@@ -1,17 +1,19 @@
 """Amount-to-points tier lookup: closed intervals, open top, highest lower bound wins.
 
 An amount has a whole-number position: twice its count of ten-thousandths, plus one if it lies between two of them. Tier
-bounds are whole ten-thousandths, so a tier is an interval of positions. It is cut into blocks whose size and start are
-powers of two, at most two per size; the blocks that contain a position are found by shifting it. So tiers and amounts
-meet by equality, and rows grow with tiers times sizes, never with pairs, however tiers nest or reach.
+bounds are whole ten-thousandths, so a tier is an interval of positions. The bounds cut the line into stretches of one
+winner each. To find the winners, a tier is cut into blocks whose size and start are powers of two, at most two per size;
+the blocks that contain a bound are found by shifting it. So tiers and bounds meet by equality, and rows grow with tiers
+times sizes, never with pairs, however tiers nest or reach. Amounts then take their stretch in one ordered pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import frequent_keys, frequent_of, key_counts, spread_join
+from ledgerloom.operators.ordered import ordered_chunks
+from ledgerloom.sources.tables import work_folder
 
 # Tier bounds are decimal(18,4): their positions lie well within half of this on either side of zero.
 SPAN = 1 << 62
@@ -67,30 +69,59 @@ def tier_blocks(tiers: DataFrame) -> DataFrame:
     return blocks.groupBy(F.struct("size", "number").alias("block")).agg(F.max("step").alias("step"))
 
 
-def tier_lookup(rows: DataFrame, amount: str, tiers: DataFrame, points: str = "points_delta") -> DataFrame:
-    """Add ``points`` for the tier that holds ``amount``; 0 when none does or the amount is null.
+def tier_starts(tiers: DataFrame) -> DataFrame:
+    """``(position, step)``: where a winner begins to hold; ``step`` is null where none does.
 
-    Distinct amounts are matched, not rows, and both joins spread their frequent keys, so neither a popular amount
-    nor a block that holds most of them ends up in one task.
+    Winners change only at the lower bound of a tier and behind the upper bound of one. These places, two per tier at
+    most, are matched with the blocks that contain them.
     """
     blocks = tier_blocks(tiers)
-    # The sizes in use, a list of at most all sizes.
-    sizes = blocks.agg(F.collect_set("block.size")).scalar()
-    counts = key_counts(rows, amount)
-    amounts = (
-        counts.select(amount)
-        .withColumn("_position", position(F.col(amount)))
-        .withColumn("_size", F.explode(sizes))
-        .select(
-            amount,
-            F.struct(F.col("_size").alias("size"), F.expr("shiftright(_position, _size)").alias("number")).alias("block"),
-        )
+    ends = tiers.where("min_amount IS NOT NULL").select(
+        F.explode(F.array(position(F.col("min_amount")), position(F.col("max_amount")) + 1)).alias("position")
+    )
+    places = ends.where(F.col("position").isNotNull()).distinct()
+    sizes = F.sequence(F.lit(0), F.lit(SIZES - 1))
+    containing = places.withColumn("size", F.explode(sizes)).select(
+        "position", F.struct(F.col("size"), F.expr("shiftright(position, size)").alias("number")).alias("block")
+    )
+    return containing.join(blocks, "block", "left").groupBy("position").agg(F.max("step").alias("step"))
+
+
+def tier_lookup(
+    rows: DataFrame, amount: str, tiers: DataFrame, points: str = "points_delta", folder: str | None = None
+) -> DataFrame:
+    """Add ``points`` for the tier that holds ``amount``; 0 when none does or the amount is null.
+
+    One ordered pass: rows and the places where winners begin are range-partitioned by position, and each row takes the
+    last place at or before it. Rows that share a popular amount are spread over chunks by a hash. ``folder`` holds the
+    ordered rows; by default a fresh working folder.
+    """
+    own = F.struct(*rows.columns)
+    # An amount that is null lies before all tiers; places come before the rows at the same position.
+    places = tier_starts(tiers).select(F.col("position").alias("_position"), F.struct("step").alias("_start"))
+    asked = rows.select(
+        F.coalesce(position(F.col(amount)), F.lit(-1).cast("bigint")).alias("_position"),
+        F.xxhash64(*rows.columns).alias("_spread"),
+        own.alias("_row"),
+    )
+    both = asked.unionByName(places, allowMissingColumns=True)
+    chunks = ordered_chunks(
+        both.withColumn("_asks", F.col("_row").isNotNull()), "_position", ["_asks", "_spread"],
+        folder or work_folder(rows.sparkSession, "tiers"),
+    )
+    # What a chunk takes over from the chunks before it: one row per chunk.
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        chunks.groupBy("_chunk")
+        .agg(F.max_by("_start", F.when(F.col("_start").isNotNull(), F.col("_position"))).alias("_last"))
+        .select("_chunk", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
     )
-    winners = (
-        spread_join(amounts, blocks, "block", frequent_keys(amounts, "block"), [amount], "inner")
-        .groupBy(amount)
-        .agg(F.max("step").alias("_step"))
-        .select(amount, F.col("_step.points_awarded").alias(points))
+    within = Window.partitionBy("_chunk").orderBy("_position", "_asks")
+    held = F.last("_start", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    winner = F.coalesce("_here", "_carried")
+    return (
+        chunks.withColumn("_here", held)
+        .where("_asks")
+        .join(F.broadcast(carried), "_chunk")
+        .select("_row.*", F.coalesce(winner["step"]["points_awarded"], F.lit(0)).alias(points))
     )
-    keyed = spread_join(rows, winners, amount, frequent_of(counts, amount), rows.columns)
-    return keyed.select(*rows.columns, F.coalesce(points, F.lit(0)).alias(points))
