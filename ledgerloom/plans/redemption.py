@@ -31,16 +31,20 @@ def redemption_events(payments: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def balance_at_payment(payments: DataFrame, ledger: DataFrame, folder: str) -> DataFrame:
-    """Card balance at each points payment: all ledger events up to and including its time.
+    """Card balance at each points payment, on one timeline of ledger events and computed redemptions.
 
-    Events of unknown time come last; a payment of unknown time sees the whole ledger. ``folder``
-    holds the ordered rows between two passes.
+    A payment sees all ledger events up to and including its time, and the redemptions (not booked in the ledger) of
+    the payments before it: earlier ones, and those of its time with a smaller id. Events of unknown time come last; a
+    payment of unknown time sees the whole ledger. ``folder`` holds the ordered rows between two passes.
     """
     movements = ledger.groupBy("card_id", F.col("event_datetime").alias("at")).agg(
         F.sum("points_delta").alias("points_delta")
     )
-    asked = points_spent(payments).select(
-        "card_id", F.col("payment_datetime").alias("at"), "payment_id", "order_id", "points_used"
+    redeemed = redemption_events(payments, ledger).select("payment_id", "points_delta")
+    asked = (
+        points_spent(payments)
+        .select("card_id", F.col("payment_datetime").alias("at"), "payment_id", "order_id", "points_used")
+        .join(redeemed, "payment_id", "left")
     )
     timeline = movements.unionByName(asked, allowMissingColumns=True).select(
         "card_id", F.col("at").isNull().alias("undated"), "at",
@@ -48,7 +52,9 @@ def balance_at_payment(payments: DataFrame, ledger: DataFrame, folder: str) -> D
         "payment_id", "order_id", "points_used", "points_delta",
     )
     order = ["undated", "at", "is_payment", "payment_id"]
-    totals = running_total(timeline, "card_id", order, "points_delta", "points_balance", folder)
+    totals = running_total(timeline, "card_id", order, "points_delta", "total", folder)
+    # Its own redemption is no part of what a payment finds.
+    found = (F.col("total") - F.coalesce("points_delta", F.lit(0))).alias("points_balance")
     return totals.where("is_payment").select(
-        "payment_id", "card_id", "order_id", F.col("at").alias("payment_datetime"), "points_used", "points_balance"
+        "payment_id", "card_id", "order_id", F.col("at").alias("payment_datetime"), "points_used", found
     )
