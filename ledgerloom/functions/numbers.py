@@ -35,19 +35,37 @@ def amount_value(name: str, decimal_type: str = AMOUNT, strict: bool = True) ->
     return _exact(f"`{name}`", name, decimal_type, strict)
 
 
-def whole_number(name: str) -> Column:
-    """Id of a text cell: ``'12'`` and ``'12.0'`` give 12; a fractional or malformed id gives NULL.
-
-    Plain digits take the first branch. Cells with a point skip it, because a failing integer
-    cast raises and catches an exception per row, which is far dearer than the decimal parse.
-    """
+def _read_id(name: str) -> str:
+    """Plain digits take the first branch. Cells with a point skip it, because a failing integer cast raises and
+    catches an exception per row, which is far dearer than the decimal parse."""
     wide = f"try_cast(`{name}` AS decimal(38,6))"
-    return F.expr(
+    return (
         f"coalesce(CASE WHEN NOT contains(`{name}`, '.') THEN try_cast(`{name}` AS bigint) END, "
         f"CASE WHEN {wide} = floor({wide}) THEN try_cast(floor({wide}) AS bigint) END)"
     )
 
 
+def unfit_id(name: str) -> str:
+    """SQL that tells whether a text cell is a whole number that no id can hold."""
+    wide = f"try_cast(`{name}` AS decimal(38,6))"
+    return f"({_read_id(name)} IS NULL AND {is_number(f'`{name}`')} AND coalesce({wide} = floor({wide}), true))"
+
+
+def unfit_number(text: str, decimal_type: str) -> str:
+    """SQL that tells whether the text expression is a number that ``decimal_type`` cannot hold."""
+    return f"(try_cast({text} AS {decimal_type}) IS NULL AND {is_number(text)})"
+
+
+def whole_number(name: str, strict: bool = True) -> Column:
+    """Id of a text cell: ``'12'`` and ``'12.0'`` give 12; a fractional or malformed id gives NULL."""
+    read = _read_id(name)
+    if not strict:
+        return F.expr(read)
+    message = f"concat('{name}: an id outside bigint: ', `{name}`)"
+    # Only a cell that gave no id is looked at again.
+    return F.expr(f"coalesce({read}, CASE WHEN {unfit_id(name)} THEN CAST(raise_error({message}) AS bigint) END)")
+
+
 def price_text(name: str) -> str:
     """SQL of a price cell after removing each currency suffix, whatever its casing.
 

@@ -33,20 +33,30 @@ def revenue_by_day(orders: DataFrame) -> DataFrame:
     )
 
 
+def segment_report(per_segment: DataFrame) -> DataFrame:
+    """The segment report from counts and sums per segment."""
+    net = F.col("net_collected_revenue")
+    return per_segment.select(
+        "customer_segment",
+        "order_count",
+        "total_expected_revenue",
+        "net_collected_revenue",
+        (net.cast("double") / F.col("order_count")).alias("avg_order_value"),
+    ).orderBy(F.desc("net_collected_revenue"))
+
+
 def revenue_by_customer_segment(orders: DataFrame) -> DataFrame:
     """Valid revenue per customer segment; orders without a segment are not reported."""
-    net = F.sum("net_collected_amount")
-    return (
+    per_segment = (
         orders.where("is_valid_revenue AND customer_segment IS NOT NULL")
         .groupBy("customer_segment")
         .agg(
             F.count("order_id").alias("order_count"),
             F.sum("order_expected_amount").alias("total_expected_revenue"),
-            net.alias("net_collected_revenue"),
-            (net.cast("double") / F.count("order_id")).alias("avg_order_value"),
+            F.sum("net_collected_amount").alias("net_collected_revenue"),
         )
-        .orderBy(F.desc("net_collected_revenue"))
     )
+    return segment_report(per_segment)
 
 
 def card_totals(ledger: DataFrame) -> DataFrame:
@@ -61,9 +71,9 @@ def card_totals(ledger: DataFrame) -> DataFrame:
     )
 
 
-def loyalty_card_summary(ledger: DataFrame) -> DataFrame:
-    """Points earned, redeemed and left per card."""
-    return card_totals(ledger).select(
+def card_summary(totals: DataFrame) -> DataFrame:
+    """The card report from the totals per card."""
+    return totals.select(
         "card_id",
         F.col("earned").cast("bigint").alias("points_earned"),
         F.col("redeemed").cast("bigint").alias("points_redeemed"),
@@ -74,7 +84,12 @@ def loyalty_card_summary(ledger: DataFrame) -> DataFrame:
     )
 
 
-def _order_measures(orders: DataFrame) -> DataFrame:
+def loyalty_card_summary(ledger: DataFrame) -> DataFrame:
+    """Points earned, redeemed and left per card."""
+    return card_summary(card_totals(ledger))
+
+
+def order_measures(orders: DataFrame) -> DataFrame:
     """One row of order counts and valid-revenue sums."""
     valid = F.col("is_valid_revenue")
 
@@ -124,14 +139,14 @@ def _loyal_revenue(orders: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def kpi_summary(orders: DataFrame, ledger: DataFrame) -> DataFrame:
-    """The 17 KPIs as ``(kpi_name, kpi_value)`` rows, in report order.
+    """The 17 KPIs as ``(kpi_name, kpi_value)`` rows, in report order."""
+    return kpi_rows(order_measures(orders), card_totals(ledger), _loyal_revenue(orders, ledger))
 
-    One aggregate over the orders; the point sums and the loyal revenue enter as scalars.
-    """
-    points = _point_measures(card_totals(ledger)).select(F.struct("*").alias("points")).scalar()
-    measures = _order_measures(orders).select(
-        "*", points.alias("points"), _loyal_revenue(orders, ledger).scalar().alias("loyal_net")
-    )
+
+def kpi_rows(order_sums: DataFrame, totals: DataFrame, loyal_revenue: DataFrame) -> DataFrame:
+    """The KPIs from one row of order measures; the point sums over the cards and the loyal revenue enter as scalars."""
+    points = _point_measures(totals).select(F.struct("*").alias("points")).scalar()
+    measures = order_sums.select("*", points.alias("points"), loyal_revenue.scalar().alias("loyal_net"))
     values = {
         "conversion_rate": rounded_double(guarded_ratio(F.col("valid_revenue_orders"), F.col("total_orders")), 6),
         "total_expected_revenue": rounded_double(F.col("expected"), 2),

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import boolean_value, datetime_value, lower_text, whole_number
-from ledgerloom.functions.numbers import is_number, price_text
-from ledgerloom.schema import AMOUNT, PERCENT, PRICE, QUANTITY
+from ledgerloom.functions.numbers import is_number, price_text, unfit_id, unfit_number
+from ledgerloom.schema import AMOUNT, OPTIONAL_COLUMNS, PERCENT, PRICE, QUANTITY
 
 # Kind of number -> its type.
-NUMBER_TYPES = {"amount": AMOUNT, "quantity": QUANTITY, "price": PRICE, "percent": PERCENT}
+NUMBER_TYPES = {"amount": AMOUNT, "quantity": QUANTITY, "price": PRICE, "list_price": PRICE, "percent": PERCENT}
 # The widest type that numbers are compared in, to see whether decimals were lost.
 WIDE = "decimal(38,18)"
 
@@ -24,7 +24,7 @@ WIDE = "decimal(38,18)"
 COLUMN_KINDS: dict[str, dict[str, str]] = {
     "customers": {"customer_id": "id", "signup_date": "datetime"},
     "customer_cards": {"customer_id": "id", "card_created_at": "datetime"},
-    "products": {"standard_price": "amount", "is_active": "boolean"},
+    "products": {"standard_price": "list_price", "is_active": "boolean"},
     "orders_master": {"order_id": "id", "customer_id": "id", "order_date": "datetime"},
     "order_details": {
         "order_id": "id", "line_id": "id", "quantity": "quantity", "unit_price": "price", "discount_pct": "percent",
@@ -59,9 +59,26 @@ ALLOWED: dict[str, dict[str, tuple[str, ...]]] = {
 }
 
 
+def number_text(name: str, kind: str) -> str:
+    """SQL of the text of a number cell; line prices may carry a suffix."""
+    return price_text(name) if kind == "price" else f"`{name}`"
+
+
+def unfit_cells(table: str, columns: Sequence[str]) -> list[tuple[str, Column]]:
+    """``(column, cell is a number that its type cannot hold)`` for the ids and numbers of a raw table."""
+    kinds = COLUMN_KINDS[table] | {c: "id" for c in OPTIONAL_COLUMNS.get(table, ()) if c in columns}
+    found = []
+    for name, kind in kinds.items():
+        if kind == "id":
+            found.append((name, F.expr(unfit_id(name))))
+        elif kind in NUMBER_TYPES:
+            found.append((name, F.expr(unfit_number(number_text(name, kind), NUMBER_TYPES[kind]))))
+    return [(name, F.coalesce(unfit, F.lit(False))) for name, unfit in found]
+
+
 def number_rules(name: str, kind: str) -> list[tuple[str, str, Column]]:
     """A cell is no number, is one that its type cannot hold, or loses decimals in it."""
-    text = price_text(name) if kind == "price" else f"`{name}`"
+    text = number_text(name, kind)
     value = f"try_cast({text} AS {NUMBER_TYPES[kind]})"
     return [
         (name, "unreadable", F.expr(f"`{name}` IS NOT NULL AND {value} IS NULL AND NOT {is_number(text)}")),
@@ -73,7 +90,6 @@ def number_rules(name: str, kind: str) -> list[tuple[str, str, Column]]:
 def table_rules(table: str, datetime_formats: Sequence[str] = ()) -> list[tuple[str, str, Column]]:
     """``(column, rule, is violated)`` for every rule of a raw table."""
     readers = {
-        "id": whole_number,
         "datetime": lambda name: datetime_value(name, datetime_formats),
         "boolean": boolean_value,
     }
@@ -81,6 +97,10 @@ def table_rules(table: str, datetime_formats: Sequence[str] = ()) -> list[tuple[
     for name, kind in COLUMN_KINDS[table].items():
         if kind in NUMBER_TYPES:
             rules += number_rules(name, kind)
+        elif kind == "id":
+            lost = F.col(name).isNotNull() & whole_number(name, strict=False).isNull()
+            unfit = F.coalesce(F.expr(unfit_id(name)), F.lit(False))
+            rules += [(name, "unreadable", lost & ~unfit), (name, "out_of_range", unfit)]
         else:
             rules.append((name, "unreadable", F.col(name).isNotNull() & readers[kind](name).isNull()))
     rules += [

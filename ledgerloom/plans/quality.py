@@ -70,7 +70,7 @@ def _total(column: str):
 
 def _raw_id(raw: DataFrame, key: str) -> DataFrame:
     """Raw ids compared as numbers where they are numbers (``1`` and ``1.0`` repeat each other)."""
-    return raw.select(F.coalesce(whole_number(key).cast("string"), F.col(key)).alias(key))
+    return raw.select(F.coalesce(whole_number(key, strict=False).cast("string"), F.col(key)).alias(key))
 
 
 def repeated_orders(raw: Tables, stg: Tables, marts: Tables) -> DataFrame:

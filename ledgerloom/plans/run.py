@@ -1,11 +1,13 @@
 """The full run: raw -> staging -> marts -> quality report and analytics.
 
 Each layer is written once and read back by the next, so no table is computed twice, later
-scans read only the columns they need, and a lost executor never reaches behind a layer.
+scans read only the columns they need, and a lost executor never reaches behind a layer. A run is
+published as a whole when its last table is written.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -22,8 +24,11 @@ from ledgerloom.plans.marts import (
     fact_payments,
 )
 from ledgerloom.plans.quality import quality_report
+from ledgerloom.plans.rejects import MOST_REJECTED, check_shares, counted_split, fitting_rows, rejected_rows
 from ledgerloom.plans.staging import build_staging, staged_frequent_keys
 from ledgerloom.sources import load_raw, read_tables, write_tables
+from ledgerloom.sources.manifest import file_system, last_number, publish, published
+from ledgerloom.sources.monthly import MONTH, month_of
 
 Tables = dict[str, DataFrame]
 
@@ -33,7 +38,9 @@ PARTITION_TIMES = {
     "fact_orders": "order_date",
     "fact_card_points_ledger": "event_datetime",
 }
-MONTH = "partition_month"
+
+
+LAYERS = ("staging", "marts", "analytics", "data_quality")
 
 
 class Layers(NamedTuple):
@@ -53,7 +60,7 @@ def write_layer(spark: SparkSession, tables: Tables, folder: str, counts: dict[s
     """
     dated = {name: PARTITION_TIMES[name] for name in tables if name in PARTITION_TIMES}
     tables = tables | {
-        name: tables[name].withColumn(MONTH, F.date_format(time, "yyyy-MM")) for name, time in dated.items()
+        name: tables[name].select("*", month_of(time)) for name, time in dated.items()
     }
     written = write_tables(tables, folder, partition_by=dict.fromkeys(dated, MONTH))
     if counts is not None:
@@ -101,14 +108,28 @@ def write_marts(spark: SparkSession, stg: Tables, folder: str, counts: dict[str,
     return marts | write_layer(spark, {"fact_card_points_ledger": ledger}, f"{folder}/marts", counts)
 
 
-def run_layers(spark: SparkSession, raw: Tables, folder: str, datetime_formats: Sequence[str] = ()) -> Layers:
-    """Build and write every table below ``folder``, overwriting an earlier run."""
+def run_layers(
+    spark: SparkSession,
+    raw: Tables,
+    folder: str,
+    datetime_formats: Sequence[str] = (),
+    most_rejected: float = MOST_REJECTED,
+) -> Layers:
+    """Build and write every table below ``folder``.
+
+    Rows with a number that does not fit are set apart in ``data_quality/rejected_rows``; if they are more than the
+    share ``most_rejected`` of a table, the run ends there.
+    """
     counts: dict[str, int] = {}
-    stg = write_staging(spark, raw, folder, counts, datetime_formats)
+    splits = {table: counted_split(df, table) for table, df in raw.items()}
+    stg = write_staging(spark, {t: split.rows for t, split in splits.items()}, folder, counts, datetime_formats)
+    rejected = {"rejected_rows": rejected_rows(spark, raw, splits)}
+    report = write_layer(spark, rejected, f"{folder}/data_quality", counts)
+    check_shares(splits, most_rejected)
     marts = write_marts(spark, stg, folder, counts)
-    report = write_layer(
-        spark, {"data_quality_report": quality_report(raw, stg, marts)}, f"{folder}/data_quality", counts
-    )
+    fitting = {table: fitting_rows(df, table) for table, df in raw.items()}
+    checks = {"data_quality_report": quality_report(fitting, stg, marts)}
+    report |= write_layer(spark, checks, f"{folder}/data_quality", counts)
     analytics = write_layer(spark, build_analytics(marts), f"{folder}/analytics", counts)
     return Layers(stg, marts, analytics, report, counts)
 
@@ -119,9 +140,41 @@ def run(
     out_folder: str,
     datetime_formats: Sequence[str] = (),
     multi_line: bool = True,
+    most_rejected: float = MOST_REJECTED,
 ) -> Layers:
-    """Run everything from raw CSV files. Times are read as ISO, or by the first of ``datetime_formats`` that fits."""
-    return run_layers(spark, load_raw(spark, raw_folder, multi_line), out_folder, datetime_formats)
+    """Run everything from raw CSV files. Times are read as ISO, or by the first of ``datetime_formats`` that fits.
+
+    The tables are written below a folder of this run and published together at the end: until then, and if the run
+    fails, :func:`published_layers` gives those of the run before.
+    """
+    number = last_number(spark, out_folder) + 1
+    place = f"runs/{number}-{uuid.uuid4().hex[:8]}"
+    raw = load_raw(spark, raw_folder, multi_line)
+    layers = run_layers(spark, raw, f"{out_folder}/{place}", datetime_formats, most_rejected)
+    tables = {layer: sorted(getattr(layers, layer)) for layer in LAYERS}
+    publish(spark, out_folder, number, {"folder": place, "tables": tables, "row_counts": layers.row_counts})
+    return layers
+
+
+def published_layers(spark: SparkSession, out_folder: str) -> Layers:
+    """The tables of the last run that was written to the end."""
+    found = published(spark, out_folder)
+    if not found:
+        raise FileNotFoundError(f"{out_folder}: no run has been published")
+    tables = {
+        layer: read_tables(spark, f"{out_folder}/{found['folder']}/{layer}", names) for layer, names in found["tables"].items()
+    }
+    return Layers(**tables, row_counts=found["row_counts"])
+
+
+def drop_runs(spark: SparkSession, out_folder: str, keep: int = 2) -> None:
+    """Delete the tables of published runs but the last ``keep``; a reader of those may still be at work."""
+    last = last_number(spark, out_folder)
+    for number in range(last - max(keep, 1), -1, -1):
+        files, place = file_system(spark, f"{out_folder}/{published(spark, out_folder, number)['folder']}")
+        if not files.exists(place):
+            break
+        files.delete(place, True)
 
 
 def run_summary(spark: SparkSession, layers: Layers) -> DataFrame:

@@ -1,60 +1,28 @@
-"""Incremental ingest with Structured Streaming: only new raw files are read, only affected facts rebuilt.
+"""Incremental ingest with Structured Streaming: only new raw files are read.
 
 Each micro-batch is reduced (last row per key, distinct lines, or all events, as the table asks) and stored under its
 batch id, so a batch that runs again after a failure replaces itself. The current table is the same reduction over
 the last compacted base and the batches since. Streaming deduplication would keep the *first* row of a key, hence
-the stored batches. ``fact_orders`` is kept the same way: a rebuild stores the rows of affected orders only.
-
-State of a table below its folder: ``progress`` (of the stream), ``changes/batch_id=N``, ``base/upto=N``. What a base
-covers is no longer read and may expire.
+the stored batches. Rows with a number that does not fit are set apart below ``rejected/batch_id=N``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import dedup_exact, dedup_latest, require_keys, require_text
-from ledgerloom.plans import staging
-from ledgerloom.plans.marts import build_fact_orders
-from ledgerloom.plans.run import MONTH, PARTITION_TIMES
-from ledgerloom.schema import INGEST_ORDINAL, RAW_COLUMNS
+from ledgerloom.plans.rejects import counted_split, rejected_cells
 from ledgerloom.sources import conform_raw
 from ledgerloom.sources.raw import csv_reader_options, with_arrival_order
+from ledgerloom.streaming.stored import VERSIONED, last_batch, reduced, reduced_again, stored_changes, stored_rows
 
-# Raw table with versions -> (typed projection, business key, filter for the key, columns checked after dedup).
-# Of the other tables every distinct line, or every event, counts.
-VERSIONED: dict[str, tuple[Callable[..., DataFrame], str, Callable[..., DataFrame], tuple[str, ...]]] = {
-    "orders_master": (staging.typed_orders, "order_id", require_keys, ("customer_id",)),
-    "payments": (staging.typed_payments, "payment_id", require_keys, ("order_id",)),
-    "customers": (staging.typed_customers, "customer_id", require_keys, ()),
-    "customer_cards": (staging.typed_customer_cards, "card_id", require_text, ("customer_id",)),
-    "products": (lambda raw, _: staging.typed_products(raw), "product_id", require_text, ()),
-}
 # Files of one micro-batch; their paths and header lines come to the driver.
 FILES_PER_BATCH = 1000
 
-# Tables that fact_orders is built from, and those whose changes name orders.
-FACT_INPUTS = ("orders_master", "order_details", "payments", "customers")
-BY_ORDER = ("orders_master", "order_details", "payments")
-
-
-def _latest(rows: DataFrame, key: str, *order: str) -> DataFrame:
-    """Last row per key by ``order``, which is kept."""
-    return dedup_latest(rows.withColumn("_order", F.struct(*order)), key, "_order")
-
-
-def _reduced(raw: DataFrame, table: str, datetime_formats: Sequence[str]) -> DataFrame:
-    """Typed rows of a batch, versions reduced to the last per key, with the ordinal kept."""
-    if table not in VERSIONED:
-        return staging.BUILDERS[f"stg_{table}"][1](raw, datetime_formats)
-    typed, key, require_key, _ = VERSIONED[table]
-    return _latest(require_key(typed(raw, datetime_formats), key), key, INGEST_ORDINAL)
-
 
 def read_files_by_name(spark: SparkSession, headers: dict[str, list[str]], table: str) -> DataFrame:
     """Raw ``table`` from files given per header line, so columns may come in any order and optional ones are kept."""
@@ -83,8 +51,12 @@ def ingest_new_files(
         for r in starts.groupBy("file_path").agg(first).collect():
             headers.setdefault(r.header, []).append(unquote(r.file_path))
         if headers:
-            changes = _reduced(read_files_by_name(spark, headers, table), table, datetime_formats)
+            raw = read_files_by_name(spark, headers, table)
+            split = counted_split(raw, table)
+            changes = reduced(split.rows, table, datetime_formats)
             changes.write.mode("overwrite").parquet(f"{state_folder}/changes/batch_id={batch_id}")
+            if split.tally.get["rejected"]:
+                rejected_cells(raw, table).write.mode("overwrite").parquet(f"{state_folder}/rejected/batch_id={batch_id}")
 
     query = (
         located.writeStream.foreachBatch(store)
@@ -95,114 +67,18 @@ def ingest_new_files(
     query.awaitTermination()
 
 
-# Stored state
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
-def stored_changes(spark: SparkSession, state_folder: str, after_batch: int = -1) -> DataFrame:
-    """Stored rows of the batches after ``after_batch`` with their ``batch_id``; only those are read."""
-    folder = f"{state_folder}/changes"
-    return spark.read.option("mergeSchema", "true").option("basePath", folder).parquet(folder).where(F.col("batch_id") > after_batch)
-
-
-def last_batch(spark: SparkSession, state_folder: str) -> int:
-    """The newest stored batch, -1 if there is none."""
-    if not _exists(spark, f"{state_folder}/changes"):
-        return -1
-    return stored_changes(spark, state_folder).agg(F.max("batch_id").alias("n")).first().n
-
-
-def stored_rows(spark: SparkSession, state_folder: str) -> DataFrame:
-    """The rows of the newest base (as batch -1) and of the batches after it."""
-    base = f"{state_folder}/base"
-    if not _exists(spark, base):
-        return stored_changes(spark, state_folder)
-    bases = spark.read.option("basePath", base).parquet(base)
-    upto = bases.agg(F.max("upto").alias("n")).first().n
-    kept = bases.where(F.col("upto") == upto).drop("upto").withColumn("batch_id", F.lit(-1))
-    return kept.unionByName(stored_changes(spark, state_folder, upto), allowMissingColumns=True)
-
+def compact(spark: SparkSession, table: str, state_folder: str, upto: int | None = None) -> None:
+    """Write the current rows, or those as of batch ``upto``, as the new base; a call that fails leaves the old one in force.
 
-def _current_rows(rows: DataFrame, table: str) -> DataFrame:
-    """Stored rows reduced once more, ordinals kept."""
-    if table in VERSIONED:
-        return _latest(rows, VERSIONED[table][1], "batch_id", INGEST_ORDINAL).drop("batch_id")
-    rows = rows.drop("batch_id")
-    return dedup_exact(rows, RAW_COLUMNS[table]) if table == "order_details" else rows
-
-
-def current_table(spark: SparkSession, table: str, state_folder: str) -> DataFrame:
-    """The staging table as of the last stored batch."""
-    rows = _current_rows(stored_rows(spark, state_folder), table).drop(INGEST_ORDINAL)
-    required = VERSIONED[table][3] if table in VERSIONED else ()
-    return require_keys(rows, *required) if required else rows
-
-
-def compact(spark: SparkSession, table: str, state_folder: str) -> None:
-    """Write the current rows as the new base; a call that fails half-way leaves the old one in force."""
-    upto = last_batch(spark, state_folder)
-    rows = _current_rows(stored_rows(spark, state_folder), table)
+    Facts refreshed from the state ask for the versions as of the batch they have seen: compact up to that batch,
+    or keep what the base covers until the next refresh.
+    """
+    last = last_batch(spark, state_folder)
+    upto = last if upto is None else min(upto, last)
+    rows = reduced_again(stored_rows(spark, table, state_folder, upto), table)
     rows.write.mode("overwrite").parquet(f"{state_folder}/base/upto={upto}")
 
 
 def changed_keys(spark: SparkSession, table: str, state_folder: str, after_batch: int = -1) -> DataFrame:
     """Distinct business keys stored after batch ``after_batch``; only those batches are read."""
-    key = VERSIONED[table][1]
-    return stored_changes(spark, state_folder, after_batch).select(key).distinct()
-
-
-# The order fact
-
-
-def restrict_to_orders(stg: dict[str, DataFrame], affected: DataFrame) -> dict[str, DataFrame]:
-    """Staging tables cut to the ``affected`` order ids, to rebuild just those rows of ``fact_orders``."""
-    by_order = tuple(f"stg_{table}" for table in BY_ORDER)
-    return {
-        name: df.join(affected, "order_id", "left_semi") if name in by_order else df for name, df in stg.items()
-    }
-
-
-def affected_orders(spark: SparkSession, state: str, seen: dict[str, int]) -> DataFrame:
-    """Orders with a change after the batches ``seen``: of their own rows, lines, payments, or customer."""
-    named = [stored_changes(spark, f"{state}/{t}", seen.get(t, -1)).select("order_id") for t in BY_ORDER]
-    customers = changed_keys(spark, "customers", f"{state}/customers", seen.get("customers", -1))
-    orders = stored_rows(spark, f"{state}/orders_master").select("order_id", "customer_id")
-    named.append(orders.join(customers, "customer_id", "left_semi").select("order_id"))
-    return reduce(DataFrame.union, named).where("order_id IS NOT NULL").distinct()
-
-
-def rebuild_fact_orders(spark: SparkSession, state: str) -> None:
-    """Store the ``fact_orders`` rows of all orders that changed since the last call.
-
-    ``state`` holds one folder per table. A row whose order is gone is stored as absent. The batches that a call
-    has seen are stored with it, after it, so a call that failed is made again in full.
-    """
-    folder = f"{state}/fact_orders"
-    progress = f"{folder}/seen"
-    seen: dict[str, int] = {}
-    number = 0
-    if _exists(spark, progress):
-        done = spark.read.option("basePath", progress).parquet(progress)
-        number = done.agg(F.max("batch_id").alias("n")).first().n + 1
-        seen = {r.table: r.batch for r in done.where(F.col("batch_id") == number - 1).collect()}
-    now = {table: last_batch(spark, f"{state}/{table}") for table in FACT_INPUTS}
-    affected = affected_orders(spark, state, seen)
-    stg = {f"stg_{table}": current_table(spark, table, f"{state}/{table}") for table in FACT_INPUTS}
-    frequent = {"customer_id": staging.frequent_keys(stg["stg_orders_master"], "customer_id")}
-    facts = build_fact_orders(restrict_to_orders(stg, affected), frequent).withColumn("present", F.lit(True))
-    rows = affected.join(facts, "order_id", "left").withColumn("present", F.coalesce("present", F.lit(False)))
-    month = F.date_format(PARTITION_TIMES["fact_orders"], "yyyy-MM")
-    dated = rows.withColumn(MONTH, month).hint("rebalance", MONTH)
-    dated.write.mode("overwrite").partitionBy(MONTH).parquet(f"{folder}/changes/batch_id={number}")
-    record = spark.createDataFrame(list(now.items()), "table string, batch bigint")
-    record.write.mode("overwrite").parquet(f"{progress}/batch_id={number}")
-
-
-def current_fact_orders(spark: SparkSession, state: str) -> DataFrame:
-    """``fact_orders`` as of the last rebuild."""
-    rows = stored_changes(spark, f"{state}/fact_orders")
-    return dedup_latest(rows, "order_id", "batch_id").where("present").drop("present", MONTH)
+    return stored_changes(spark, table, state_folder, after_batch).select(VERSIONED[table][1]).distinct()

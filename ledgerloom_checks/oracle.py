@@ -352,10 +352,16 @@ STATEMENTS["x_redemption_events"] = f"""SELECT payment_id, card_id, order_id, pa
   {money('-points_used')} AS points_delta, 'computed_redemption' AS ledger_source
   FROM fact_payments p WHERE {SPENT} AND is_successful_payment AND NOT EXISTS (
     SELECT 1 FROM stg_card_points_ledger l WHERE l.event_type = 'redeem' AND l.order_id = p.order_id AND l.card_id = p.card_id)"""
+CTES["points_spent"] = f"""SELECT *, is_successful_payment AND NOT EXISTS (
+    SELECT 1 FROM stg_card_points_ledger l WHERE l.event_type = 'redeem' AND l.order_id = p.order_id AND l.card_id = p.card_id) AS redeems
+  FROM fact_payments p WHERE {SPENT}"""
+CTES["points_gone"] = """SELECT payment_id, coalesce(SUM(CASE WHEN redeems THEN points_used ELSE 0 END) OVER (
+    PARTITION BY card_id ORDER BY payment_datetime NULLS LAST, payment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone
+  FROM points_spent"""
 STATEMENTS["x_balance_at_payment"] = f"""SELECT p.payment_id, any_value(p.card_id) AS card_id, any_value(p.order_id) AS order_id,
   any_value(p.payment_datetime) AS payment_datetime, {money('any_value(p.points_used)')} AS points_used,
-  {money('coalesce(SUM(l.points_delta), 0)')} AS points_balance
-  FROM (SELECT * FROM fact_payments WHERE {SPENT}) p LEFT JOIN fact_card_points_ledger l
+  {money('coalesce(SUM(l.points_delta), 0) - any_value(g.gone)')} AS points_balance
+  FROM points_spent p JOIN points_gone g ON g.payment_id = p.payment_id LEFT JOIN fact_card_points_ledger l
   ON l.card_id = p.card_id AND (p.payment_datetime IS NULL OR l.event_datetime <= p.payment_datetime) GROUP BY p.payment_id"""
 STATEMENTS["x_customer_scd2"] = f"""SELECT customer_id, segment, _ingest_seq AS valid_from,
   lead(_ingest_seq) OVER (PARTITION BY customer_id ORDER BY _ingest_seq) AS valid_to,
@@ -364,6 +370,28 @@ STATEMENTS["x_customer_scd2"] = f"""SELECT customer_id, segment, _ingest_seq AS
     WINDOW w AS (PARTITION BY customer_id ORDER BY _ingest_seq)) WHERE n = 1 OR segment IS DISTINCT FROM before"""
 STATEMENTS["x_incremental_orders"] = "SELECT * FROM stg_orders_master"
 STATEMENTS["x_incremental_fact_orders"] = STATEMENTS["fact_orders"]
+STATEMENTS["x_incremental_ledger"] = STATEMENTS["fact_card_points_ledger"]
+
+
+def long_form(report: str, keys: str, measures: str, table: str) -> str:
+    """``(report, group_key, measure, value)`` rows of a report."""
+    rows = [f"SELECT '{report}' AS report, {keys} AS group_key, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({table})" for m in measures.split()]
+    return "\nUNION ALL ".join(rows)
+
+
+STATEMENTS["x_incremental_reports"] = "\nUNION ALL ".join(
+    (
+        long_form("revenue_by_day", "CAST(order_date AS VARCHAR)",
+            "order_count total_expected_revenue total_cash_collected total_refunds net_collected_revenue",
+            STATEMENTS["revenue_by_day"].removesuffix(" ORDER BY 1")),
+        long_form("revenue_by_customer_segment", "customer_segment",
+            "order_count total_expected_revenue net_collected_revenue avg_order_value",
+            STATEMENTS["revenue_by_customer_segment"].removesuffix(" ORDER BY net_collected_revenue DESC")),
+        long_form("loyalty_card_summary", "concat_ws('|', card_id, customer_id, card_status)",
+            "points_earned points_redeemed points_balance transaction_count", STATEMENTS["loyalty_card_summary"]),
+        long_form("kpi_summary", "kpi_name", "kpi_value", STATEMENTS["kpi_summary"]),
+    )
+)
 
 STATEMENTS["norm_datetime_formats"] = STATEMENTS["norm_datetime"]
 STATEMENTS["points_default_tiers"] = STATEMENTS["tier_lookup"]
@@ -388,7 +416,10 @@ KINDS = {
     "datetime": moment,
     "boolean": lambda c: f"CASE WHEN {lower(c)} IN ('true', 'false') THEN 1 END",
 }
-NUMBERS = {"amount": "DECIMAL(18,4)", "quantity": "DECIMAL(12,3)", "price": "DECIMAL(14,4)", "percent": "DECIMAL(9,4)"}
+NUMBERS = {
+    "amount": "DECIMAL(18,4)", "quantity": "DECIMAL(12,3)", "price": "DECIMAL(14,4)", "list_price": "DECIMAL(14,4)",
+    "percent": "DECIMAL(9,4)",
+}
 NUMBER_FORM = r"'\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*'"
 
 
@@ -402,12 +433,20 @@ def number_violations(table: str, column: str, kind: str) -> list[tuple[str, str
     ]
 
 
+def unfit_id(column: str) -> str:
+    wide = f"TRY_CAST({cell(column)} AS DECIMAL(38,6))"
+    return (
+        f"coalesce({ident(column)} IS NULL AND regexp_full_match({cell(column)}, {NUMBER_FORM}) "
+        f"AND coalesce({wide} = floor({wide}), TRUE), FALSE)"
+    )
+
+
 # (table, required columns, column kinds, allowed values)
 RULES = (
     ("customers", "customer_id", "customer_id:id signup_date:datetime", {}),
     ("customer_cards", "card_id customer_id", "customer_id:id card_created_at:datetime",
         {"card_status": "'active', 'inactive', 'blocked'"}),
-    ("products", "product_id", "standard_price:amount is_active:boolean", {}),
+    ("products", "product_id", "standard_price:list_price is_active:boolean", {}),
     ("orders_master", "order_id customer_id", "order_id:id customer_id:id order_date:datetime", {}),
     ("order_details", "order_id line_id", "order_id:id line_id:id quantity:quantity unit_price:price discount_pct:percent", {}),
     ("payments", "payment_id order_id",
@@ -427,6 +466,9 @@ def rule_counts() -> list[str]:
         for column, kind in (pair.split(":") for pair in kinds.split()):
             if kind in NUMBERS:
                 violated += number_violations(table, column, kind)
+            elif kind == "id":
+                lost, unfit = f"{cell(column)} IS NOT NULL AND {ident(column)} IS NULL", unfit_id(column)
+                violated += [(table, column, "unreadable", f"{lost} AND NOT ({unfit})"), (table, column, "out_of_range", unfit)]
             else:
                 violated.append((table, column, "unreadable", f"{cell(column)} IS NOT NULL AND {KINDS[kind](column)} IS NULL"))
         violated += [(table, c, "unexpected", f"{cell(c)} IS NOT NULL AND {lower(c)} NOT IN ({v})") for c, v in allowed.items()]
@@ -436,6 +478,37 @@ def rule_counts() -> list[str]:
     ]
 
 
+# Payments and order lines with some numbers that do not fit: ids of twenty digits, amounts beyond their type.
+UNFIT_SQL = {
+    "payments": """SELECT _ingest_seq, CASE WHEN _ingest_seq % 97 = 3 THEN '99999999999999999999' ELSE payment_id END AS payment_id,
+  CASE WHEN _ingest_seq % 89 = 4 THEN '-1e25' WHEN _ingest_seq % 89 = 5 THEN '12.5' ELSE order_id END AS order_id,
+  payment_datetime, payment_type, payment_status,
+  CASE WHEN _ingest_seq % 101 = 5 THEN '123456789012345.25' WHEN _ingest_seq % 101 = 6 THEN '1,5' ELSE payment_amount END AS payment_amount,
+  card_id, CASE WHEN _ingest_seq % 97 = 3 THEN '1e15' ELSE points_used END AS points_used FROM {payments_raw}""",
+    "order_details": """SELECT order_id, line_id, product_id, CASE WHEN line_id = '5' THEN '1234567890' ELSE quantity END AS quantity,
+  CASE WHEN line_id = '6' THEN '12345678901.5 chf' ELSE unit_price END AS unit_price, discount_pct FROM {order_details_raw}""",
+}
+REJECTS = {
+    "payments": {"payment_id": "id", "order_id": "id", "payment_amount": "amount", "points_used": "amount"},
+    "order_details": {"order_id": "id", "line_id": "id", "quantity": "quantity", "unit_price": "price", "discount_pct": "percent"},
+}
+
+
+def rejected_cells() -> list[str]:
+    found = []
+    for table, kinds in REJECTS.items():
+        source = UNFIT_SQL[table].format(payments_raw="payments_raw", order_details_raw="order_details_raw")
+        arrival = "CAST(_ingest_seq AS VARCHAR)" if table == "payments" else "CAST(NULL AS VARCHAR)"
+        for column, kind in kinds.items():
+            unfit = unfit_id(column) if kind == "id" else number_violations(table, column, kind)[1][3]
+            found.append(
+                f"SELECT '{table}' AS table_name, {arrival} AS arrival, '{column}' AS column_name, 'out_of_range' AS rule, "
+                f"{column} AS cell FROM ({source}) WHERE {unfit}"
+            )
+    return found
+
+
+STATEMENTS["x_rejected_rows"] = "\nUNION ALL ".join(rejected_cells())
 STATEMENTS["x_schema_violations"] = "\nUNION ALL ".join(rule_counts())
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom_checks.oracle import UNFIT_SQL
 from ledgerloom_checks.raw_inputs import raw_cells, raw_tables
 from ledgerloom.functions import (
     amount_value,
@@ -20,12 +22,21 @@ from ledgerloom.functions import (
     whole_number,
 )
 from ledgerloom.operators import dedup_exact, dedup_latest, require_keys, tier_lookup
-from ledgerloom.plans import analytics, contract, history, loyalty, marts, quality, redemption, staging
+from ledgerloom.plans import analytics, contract, history, loyalty, marts, quality, redemption, rejects, staging
 from ledgerloom.plans.run import MONTH, run_layers, run_summary, write_facts, write_layer, write_staging
 from ledgerloom.schema import PERCENT, PRICE, QUANTITY, RAW_COLUMNS
-from ledgerloom.sources import read_raw_csv, work_folder, write_table
+from ledgerloom.sources import conform_raw, read_raw_csv, work_folder, write_table
 from ledgerloom.sources.tables import CSV_OPTIONS
-from ledgerloom.streaming import compact, current_fact_orders, current_table, ingest_new_files, rebuild_fact_orders
+from ledgerloom.streaming import (
+    compact,
+    current_fact,
+    current_fact_orders,
+    current_reports,
+    current_table,
+    ingest_new_files,
+    refresh,
+)
+from ledgerloom.streaming.facts import LEDGER
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -361,6 +372,17 @@ def schema_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.validate_raw(raw_tables(spark, sf_dir))
 
 
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of rows that staging leaves out, as the tasks that write staging have counted them."""
+    cells = raw_cells(spark, sf_dir, *UNFIT_SQL)
+    raw = {
+        table: conform_raw(spark.sql(sql, **{f"{table}_raw": cells[table]}), table) for table, sql in UNFIT_SQL.items()
+    }
+    splits = {table: rejects.counted_split(df, table) for table, df in raw.items()}
+    write_staging(spark, {table: split.rows for table, split in splits.items()}, work_folder(spark, "rejects"))
+    return rejects.rejected_rows(spark, raw, splits)
+
+
 def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders arrive in two drops, first sent and re-sent; each drop is ingested as it lands."""
     folder = work_folder(spark, "incremental")
@@ -372,21 +394,85 @@ def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_table(spark, "orders_master", f"{folder}/state")
 
 
-def incremental_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All inputs of the order fact arrive in two drops; the second rebuilds the orders it affects."""
+# What the first drop of some tables says otherwise: payments of a hot order or of none, other buyers, owners, states.
+FIRST_SENT = {
+    "payments": {"order_id": "CASE _ingest_seq % 7 WHEN 1 THEN '1' WHEN 2 THEN 'NA' ELSE order_id END"},
+    "orders_master": {
+        "customer_id": "CASE WHEN _ingest_seq % 11 = 1 THEN '7' ELSE customer_id END",
+        "order_date": "CASE WHEN _ingest_seq % 13 = 2 THEN '1995-05-05' ELSE order_date END",
+    },
+    "customers": {"segment": "CASE WHEN _ingest_seq % 6 = 1 THEN 'early' ELSE segment END"},
+    "customer_cards": {
+        "customer_id": "CASE WHEN _ingest_seq % 8 = 2 THEN '3' ELSE customer_id END",
+        "card_status": "CASE WHEN _ingest_seq % 8 = 1 THEN 'blocked' ELSE card_status END",
+    },
+}
+# What arrives in the second drop of the tables whose rows are not replaced.
+SECOND_DROP = {
+    "order_details": "coalesce(quantity = '50', false)",
+    "card_points_ledger": "event_type = 'EARN' OR points_delta = '20'",
+    "points_thresholds": "threshold_id IN ('999', '3')",
+}
+
+
+def raw_drops(cells: dict[str, DataFrame]) -> list[dict[str, DataFrame]]:
+    """Raw tables in three drops: some rows as first sent otherwise, then as they are, then what is sent again."""
+    drops: list[dict[str, DataFrame]] = [{}, {}, {}]
+    for table, rows in cells.items():
+        if table in SECOND_DROP:
+            later = F.expr(SECOND_DROP[table])
+            drops[0][table], drops[1][table] = rows.where(~later), rows.where(later)
+            continue
+        once = rows.where("_ingest_seq < 100000000")
+        first = once.withColumns({name: F.expr(sql) for name, sql in FIRST_SENT[table].items()})
+        changed = " OR ".join(f"NOT ({name} <=> {sql})" for name, sql in FIRST_SENT[table].items())
+        drops[0][table], drops[1][table] = first, once.where(changed)
+        drops[2][table] = rows.where("_ingest_seq >= 100000000")
+    return drops
+
+
+def dropped_state(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], ledger: bool) -> str:
+    """Ingest the drops one after the other, with columns in another order each time, and refresh after each."""
     folder = work_folder(spark, "incremental-facts")
-    cells = raw_cells(spark, sf_dir, *ORDER_INPUTS)
-    later = {t: F.col("_ingest_seq") >= 100000000 for t in ORDER_INPUTS}
-    later["order_details"] = F.coalesce(F.col("quantity") == "50", F.lit(False))
-    for number in range(2):
-        for table, rows in cells.items():
-            drop = rows.where(later[table] if number else ~later[table]).select(*sorted(RAW_COLUMNS[table])[:: 1 - 2 * number])
-            drop.write.options(**CSV_OPTIONS).mode("append").csv(f"{folder}/drops/{table}")
+    for number, drop in enumerate(raw_drops(raw_cells(spark, sf_dir, *tables))):
+        for table, rows in drop.items():
+            columns = sorted(RAW_COLUMNS[table])[:: 1 - 2 * (number % 2)]
+            rows.select(*columns).write.options(**CSV_OPTIONS).mode("append").csv(f"{folder}/drops/{table}")
             ingest_new_files(spark, f"{folder}/drops/{table}", table, f"{folder}/state/{table}")
-            if not number:
-                compact(spark, table, f"{folder}/state/{table}")
-        rebuild_fact_orders(spark, f"{folder}/state")
-    return current_fact_orders(spark, f"{folder}/state")
+            if number == 1:
+                compact(spark, table, f"{folder}/state/{table}", upto=0)
+        refresh(spark, f"{folder}/state", ledger)
+    return f"{folder}/state"
+
+
+def incremental_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact after payments have moved between orders or were lost, and orders changed buyer and month."""
+    return current_fact_orders(spark, dropped_state(spark, sf_dir, ORDER_INPUTS, ledger=False))
+
+
+def incremental_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points ledger after drops that change orders, cards, owners, booked earns and tiers."""
+    return current_fact(spark, dropped_state(spark, sf_dir, LEDGER_INPUTS, ledger=True), LEDGER).drop(MONTH)
+
+
+def incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four reports from signed deltas, as (report, group_key, measure, value)."""
+    reports = current_reports(spark, dropped_state(spark, sf_dir, LEDGER_INPUTS, ledger=True))
+    keys = {
+        "revenue_by_day": ["order_date"],
+        "revenue_by_customer_segment": ["customer_segment"],
+        "loyalty_card_summary": ["card_id", "customer_id", "card_status"],
+        "kpi_summary": ["kpi_name"],
+    }
+    parts = []
+    for name, df in reports.items():
+        rows = plain(df)
+        measures = [
+            F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in rows.columns if m not in keys[name]
+        ]
+        key = F.concat_ws("|", *(F.col(k).cast("string") for k in keys[name]))
+        parts.append(rows.select(F.lit(name).alias("report"), key.alias("group_key"), F.inline(F.array(*measures))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 QUERIES: dict[str, Query] = {
@@ -437,8 +523,11 @@ QUERIES: dict[str, Query] = {
     "x_balance_at_payment": balance_at_payment,
     "x_customer_scd2": customer_history,
     "x_schema_violations": schema_violations,
+    "x_rejected_rows": rejected_rows,
     "x_incremental_orders": incremental_orders,
     "x_incremental_fact_orders": incremental_fact_orders,
+    "x_incremental_ledger": incremental_ledger,
+    "x_incremental_reports": incremental_reports,
 }
 
 

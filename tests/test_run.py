@@ -7,7 +7,7 @@ from conftest import SMALL, raw_frame
 from pyspark.sql import functions as F
 
 from ledgerloom_checks.raw_inputs import raw_cells, raw_tables
-from ledgerloom.plans import marts, run_layers, run_summary
+from ledgerloom.plans import drop_runs, marts, published_layers, run_layers, run_summary
 from ledgerloom.plans.loyalty import points_for_amounts
 from ledgerloom.__main__ import main
 from ledgerloom.plans.history import arrival_times, customer_segment_history
@@ -142,8 +142,9 @@ def test_command_line_reads_formats_and_line_breaks(spark, tmp_path, capsys):
         write_table(cells.coalesce(1), f"{tmp_path}/raw/{table}.csv", "csv")
     main([f"{tmp_path}/raw", f"{tmp_path}/out", "--datetime-format", "dd.MM.yyyy", "--datetime-format", "yyyy-MM-dd"])
     assert "valid_revenue_orders" in capsys.readouterr().out
-    assert spark.read.parquet(f"{tmp_path}/out/analytics/revenue_by_day").count() > 10
-    names = spark.read.parquet(f"{tmp_path}/out/marts/dim_customers")
+    layers = published_layers(spark, f"{tmp_path}/out")
+    assert layers.analytics["revenue_by_day"].count() > 10
+    names = layers.marts["dim_customers"]
     assert names.where("customer_name NOT LIKE 'Line one\n%'").count() == 0
 
 
