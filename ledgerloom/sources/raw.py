@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import null_tokens
 from ledgerloom.schema import INGEST_ORDINAL, OPTIONAL_COLUMNS, RAW_COLUMNS
+from ledgerloom.sources.manifest import file_system
+from ledgerloom.sources.quoted import read_quoted
 
 
 def csv_reader_options(multi_line: bool = True) -> dict[str, str]:
@@ -53,8 +57,35 @@ def conform_raw(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cells, *ordinal)
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
-    """Raw ``table`` from one CSV file or a folder of them."""
+def large_files(spark: SparkSession, paths: str | list[str]) -> bool:
+    """Whether a file is larger than a split, so that one task per file would be too much for it."""
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    for path in [paths] if isinstance(paths, str) else paths:
+        files, place = file_system(spark, path)
+        # Globs and missing folders are left to the reader.
+        found = files.globStatus(place) or []
+        for status in found:
+            inner = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+            if any(f.getLen() > limit for f in inner):
+                return True
+    return False
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str | list[str], table: str, multi_line: bool = True
+) -> DataFrame:
+    """Raw ``table`` from one CSV file, a folder or a list of them.
+
+    With ``multi_line`` a quoted cell may hold line breaks. Files up to the size of a split are then read by one task
+    each; if one is larger, all are split into lines and put together by :mod:`ledgerloom.sources.quoted`, which also
+    matches each file by its own header. Without it Spark splits the files, and no cell may hold a line break.
+    """
+    if multi_line and large_files(spark, path):
+        parts = read_quoted(spark, path, csv_reader_options())
+        if parts is not None:
+            tables = [conform_raw(rows.withColumn(INGEST_ORDINAL, order).drop("_arrival"), table) for rows, order in parts]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+        multi_line = False
     scan = spark.read.options(**csv_reader_options(multi_line)).csv(path)
     return conform_raw(with_arrival_order(scan), table)
 

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.rejects import counted_split, rejected_cells
-from ledgerloom.sources import conform_raw
-from ledgerloom.sources.raw import csv_reader_options, with_arrival_order
+from ledgerloom.sources import read_raw_csv
 from ledgerloom.streaming.stored import VERSIONED, last_batch, reduced, reduced_again, stored_changes, stored_rows
 
 # Files of one micro-batch; their paths and header lines come to the driver.
@@ -26,10 +25,7 @@ FILES_PER_BATCH = 1000
 
 def read_files_by_name(spark: SparkSession, headers: dict[str, list[str]], table: str) -> DataFrame:
     """Raw ``table`` from files given per header line, so columns may come in any order and optional ones are kept."""
-    scans = [
-        conform_raw(with_arrival_order(spark.read.options(**csv_reader_options()).csv(paths)), table)
-        for paths in headers.values()
-    ]
+    scans = [read_raw_csv(spark, paths, table) for paths in headers.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
