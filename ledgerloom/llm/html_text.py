@@ -11,10 +11,12 @@ Where a page marks articles (else a main element), the marks override this: only
 is kept whatever its ratios.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out where
-the page marks them, by element, role, or a class or id that is one of the known words or joins them with words that
-only say where or what kind of part it is ("cookie-notice", "site-header", "ad-300x250"). Ids of headings, terms and inline
-elements are names of places in the text and are not looked at; the page, its body and main element are never left out, an
-article only as a reader's comment.
+the page marks them, by element (a header also within an article), role, ``hidden`` with any value, or a class or id that
+is one of the known words or joins them with words that only say whose, where or what kind of part it is ("cookie-notice",
+"site-header", "post-footer", "ad-300x250"). A class that names the header of a post or article marks its headline, which
+stays. Ids of headings, terms and inline elements are names of places in the text and are not looked at; words that are
+common subjects ("social", "alert") do not count as the id of a section or as a class of a paragraph, nor does "widget"
+alone. The page, its body and main element are never left out, an article only as a reader's comment.
 
 A map over rows without a shuffle. Defined results: a null or empty page has an empty text; character references are
 decoded; white space inside a block, line breaks and no-break spaces included, is one space; blocks are joined by an
@@ -46,18 +48,22 @@ ASIDE = frozenset("aside button dialog footer form header input label menu nav o
 ASIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 ASIDE_WORDS = frozenset(
     "ad ads adbox advert advertisement adverts advertising alert banner breadcrumb breadcrumbs comment commentlist "
-    "comments consent cookie cookies copyright disqus footer gdpr header masthead menu modal nav navbar navigation "
-    "newsletter notice notices notification pagination popup promo promoted promotion related replies respond share "
-    "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+    "comments consent cookie cookiebanner cookiebar cookienotice cookies copyright disqus footer gdpr header masthead menu "
+    "modal nav navbar navigation newsletter notice notices notification pagination popup promo promoted promotion related "
+    "replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split()
 )
-# Words that may stand beside them in one class or id.
+# Words that may stand beside them in one class or id: what kind of part it is, and whose.
 PART_WORDS = frozenset(
     "area bar block body bottom box btn button buttons card center column container div entry form global google gpt group "
-    "icon icons id inner item items label large left leaderboard link links list main message module mobile outer page pane "
-    "panel posts primary right secondary section site slot small sticky sub text title top unit wrap wrapper".split()
+    "icon icons id inner item items label large left leaderboard link links list main message meta mobile module outer page "
+    "pane panel posts primary recent right secondary section site slot small sticky sub text thread title top unit wrap "
+    "wrapper".split()
 )
-# Parts of an article that are aside although an article's header is not.
-ARTICLE_PART = re.compile("(article|blog|entry|post) (meta )?(ad|ads|breadcrumbs?|comments?|nav|navigation|pagination|related|share|sharing|social)")
+OWNER_WORDS = frozenset("article articles blog breaking content entry news page post reader readers site story user users".split())
+# Of whom a header is the headline.
+HEADLINE_OWNERS = frozenset("article blog entry post story".split())
+# Words that are also common subjects or states of a text.
+SUBJECTS = frozenset("alert banner notice notification promo promotion related share sharing skip social widget widgets".split())
 HEADINGS = frozenset("dt h1 h2 h3 h4 h5 h6".split())
 # Containers that may be a region of their own outside of articles.
 CONTAINERS = frozenset("article blockquote body div dl main ol section table td ul".split())
@@ -70,18 +76,19 @@ SIGMA = 1.0
 WORD = re.compile("[a-z0-9]+")
 SIZE = re.compile("[0-9]+(x[0-9]+)?")
 COMMENT_WORDS = frozenset(["comment", "commentlist", "comments"])
+UNCLOSED = re.compile("<[a-zA-Z/!?]")
 CAMEL = re.compile("(?<=[a-z0-9])(?=[A-Z])")
 
 
 def marks_aside(token: str, asides: frozenset[str] = ASIDE_WORDS) -> bool:
-    """Whether a class or id is made of words that set aside and words for parts of a page."""
+    """Whether a class or id is made of words that set aside and words for parts of a page and their owners."""
     words = [w.rstrip("0123456789") for w in WORD.findall(CAMEL.sub(" ", token).lower()) if not SIZE.fullmatch(w)]
-    if asides.isdisjoint(words):
+    marks = asides.intersection(words)
+    if not marks or words == ["widget"]:
         return False
-    rest = [w for w in words if w not in asides and w not in PART_WORDS]
-    if not rest and words[0] not in ("entry", "post"):
-        return True
-    return asides is ASIDE_WORDS and ARTICLE_PART.fullmatch(" ".join(words)) is not None
+    if marks == {"header"} and HEADLINE_OWNERS.intersection(words):
+        return False
+    return all(w in asides or w in PART_WORDS or asides is ASIDE_WORDS and w in OWNER_WORDS for w in words)
 
 
 def is_aside(tag: str, attributes: Sequence[tuple[str, str | None]]) -> bool:
@@ -91,11 +98,13 @@ def is_aside(tag: str, attributes: Sequence[tuple[str, str | None]]) -> bool:
         return False
     asides = COMMENT_WORDS if tag == "article" else ASIDE_WORDS
     for name, value in attributes:
+        if name == "hidden":
+            return True
         if not value:
-            if name == "hidden":
-                return True
-        elif name == "class" or name == "id" and tag in BLOCKS and tag not in HEADINGS:
-            if any(marks_aside(token, asides) for token in value.split()):
+            continue
+        if name == "class" or name == "id" and tag in BLOCKS and tag not in HEADINGS:
+            subjects = tag == "p" or tag == "section" and name == "id"
+            if any(marks_aside(t, asides) and not (subjects and t.lower() in SUBJECTS) for t in value.split()):
                 return True
         elif name == "role" and value.strip().lower() in ASIDE_ROLES:
             return True
@@ -115,6 +124,9 @@ class Lines(HTMLParser):
         self.nested: list[tuple[str, int]] = [("", -1)]
         # Open elements: tag, whether it hides or sets aside what it holds, kind and number of its region.
         self.open: list[tuple[str, bool, tuple[int, int]]] = [("", False, (0, 0))]
+        # Places in ``open`` of each tag, and of block-level elements, so that no search walks through it.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
         self.pieces: list[str] = []
         self.n_tags = 0
         self.linked = False
@@ -130,7 +142,7 @@ class Lines(HTMLParser):
                 self.links.append(self.linked)
             self.pieces = []
         self.n_tags = 0
-        self.linked = any(tag == "a" for tag, _, _ in self.open)
+        self.linked = bool(self.places.get("a"))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -150,17 +162,22 @@ class Lines(HTMLParser):
         if kind > region[0] or kind == region[0] == 0 and tag in CONTAINERS:
             self.nested.append((tag, region[1]))
             region = (kind, len(self.nested) - 1)
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
         self.open.append((tag, out, region))
 
+    def close_from(self, place: int) -> None:
+        while len(self.open) > place:
+            tag, _, _ = self.open.pop()
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
     def close_paragraph(self) -> None:
         """A block ends an open paragraph, with the inline elements left open in it."""
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i][0]
-            if tag == "p":
-                del self.open[i:]
-                return
-            if tag in BLOCKS:
-                return
+        if self.open[self.blocks[-1]][0] == "p":
+            self.close_from(self.blocks[-1])
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -173,13 +190,10 @@ class Lines(HTMLParser):
         self.n_tags += 1
         if tag in VOID:
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
-            # An inline end tag doesn't reach out of its block, a block's end tag not out of the article.
-            if self.open[i][0] in BLOCKS and tag not in BLOCKS:
-                return
+        places = self.places.get(tag)
+        # An inline end tag doesn't reach out of its block.
+        if places and (tag in BLOCKS or places[-1] > self.blocks[-1]):
+            self.close_from(places[-1])
 
     def handle_data(self, data: str) -> None:
         if not self.open[-1][1]:
@@ -198,12 +212,26 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]
 
 
-def within(lines: Lines, line: int, outer: int, only: frozenset[str] | None = None) -> bool:
-    """Whether a line's region is ``outer`` or inside it, with no other elements than ``only`` on the way."""
-    region = lines.regions[line][1]
-    while region > outer and (only is None or lines.nested[region][0] in only):
-        region = lines.nested[region][1]
-    return region == outer
+class Tree:
+    """Where regions lie in each other, answered without a walk up: they are numbered in order of opening."""
+
+    def __init__(self, nested: Sequence[tuple[str, int]]):
+        self.last = list(range(len(nested)))
+        for region in range(len(nested) - 1, 0, -1):
+            parent = nested[region][1]
+            self.last[parent] = max(self.last[parent], self.last[region])
+        # The first region at or above each one that is no structure of its text.
+        self.stop = [0] * len(nested)
+        for region, (tag, parent) in enumerate(nested):
+            self.stop[region] = self.stop[parent] if tag in STRUCTURES else region
+
+    def within(self, region: int, outer: int) -> bool:
+        """Whether ``region`` is ``outer`` or inside it."""
+        return outer <= region <= self.last[outer]
+
+    def belongs(self, region: int, outer: int) -> bool:
+        """The same, with structures alone on the way."""
+        return self.within(region, outer) and (region == outer or self.stop[region] <= outer)
 
 
 def common_parent(lines: Lines, a: int, b: int) -> int | None:
@@ -215,33 +243,26 @@ def common_parent(lines: Lines, a: int, b: int) -> int | None:
 
 def fill(lines: Lines, kept: np.ndarray) -> np.ndarray:
     """The kept lines, and those among or beside them that belong to the same text."""
+    tree, regions = Tree(lines.nested), [number for _, number in lines.regions]
     sizes = np.array([len(t) for t in lines.texts])
     edges = np.flatnonzero(np.diff(np.r_[False, kept, False].astype(np.int8))).reshape(-1, 2).tolist()
     result = kept.copy()
     for (start, a), (z, end) in zip(edges, edges[1:], strict=False):
         parent = common_parent(lines, a - 1, z)
-        if parent is not None and all(within(lines, i, parent) for i in range(a, z)):
+        if parent is not None and all(tree.within(regions[i], parent) for i in range(a, z)):
             short = sizes[a:z].sum() < sizes[start:a].sum() + sizes[z:end].sum()
             result[a:z] = short or not any(lines.links[a:z])
     for start, end in edges:
         for first, way in ((start - 1, -1), (end, 1)):
-            owner, i = lines.regions[first - way][1], first
-            while 0 <= i < len(kept) and not result[i] and not lines.links[i] and within(lines, i, owner, STRUCTURES):
+            owner, i = regions[first - way], first
+            while 0 <= i < len(kept) and not result[i] and not lines.links[i] and tree.belongs(regions[i], owner):
                 result[i] = True
                 i += way
     return result
 
 
-def main_text(html: str) -> str:
-    # A tag that the end of the page cuts off is no text.
-    last = html.rfind("<")
-    if last >= 0 and ">" not in html[last:] and re.match("[a-zA-Z/!?]", html[last + 1 : last + 2]):
-        html = html[:last]
-    lines = Lines()
-    lines.feed(html)
-    lines.finish()
-    if not lines.texts:
-        return ""
+def content_regions(lines: Lines) -> set[tuple[int, int]]:
+    """The regions of the most marked kind whose best smoothed ratio reaches the threshold; the best always does."""
     ratios = smoothed(np.array([len(t) / n for t, n in zip(lines.texts, lines.tags, strict=True)]))
     marked = max(kind for kind, _ in lines.regions)
     best: dict[tuple[int, int], float] = {}
@@ -249,9 +270,22 @@ def main_text(html: str) -> str:
         if region[0] == marked:
             best[region] = max(best.get(region, 0.0), ratio)
     threshold = min(float(np.std(ratios)), max(best.values()))
-    chosen = {region for region, ratio in best.items() if ratio >= threshold}
+    return {region for region, ratio in best.items() if ratio >= threshold}
+
+
+def main_text(html: str) -> str:
+    # A tag that the end of the page cuts off is no text, nor is what follows it.
+    cut = UNCLOSED.search(html, html.rfind(">") + 1)
+    if cut:
+        html = html[: cut.start()]
+    lines = Lines()
+    lines.feed(html)
+    lines.finish()
+    if not lines.texts:
+        return ""
+    chosen = content_regions(lines)
     kept = np.array([region in chosen for region in lines.regions])
-    if not marked:
+    if not max(kind for kind, _ in lines.regions):
         kept = fill(lines, kept)
     return "\n\n".join(t for t, keep in zip(lines.texts, kept, strict=True) if keep)
 

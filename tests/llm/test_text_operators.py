@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
+import time
 from array import array
 
 import numpy as np
@@ -13,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import chat, langid, lz
+from ledgerloom.llm import chat, html_text, langid, lz
 from ledgerloom.llm.bpe import Vocabulary, encode_texts
 from ledgerloom.llm.html_text import extract_text, main_text
 
@@ -125,6 +127,91 @@ def test_marks_set_aside(mark):
     assert main_text(f"<body><article><p>one</p><div {mark}><p>no</p></div><p>two</p></article></body>") == "one\n\ntwo"
 
 
+@pytest.mark.parametrize(
+    "name",
+    "post-footer entry-footer article-footer article-sidebar article__sidebar entry-sidebar post-notice post-newsletter "
+    "user-comments reader-comments comment-thread related-articles sponsored-content cookiebanner breaking-news-banner".split(),
+)
+def test_parts_of_owners_are_set_aside(name):
+    no = f"<div class='{name}'><p>no</p></div>"
+    assert main_text(f"<body><article><p>one</p>{no}<p>two</p></article>{no}</body>") == "one\n\ntwo"
+    assert main_text(f"<body>{LONG[0]}{no}{LONG[1]}</body>") == main_text(f"<body>{LONG[0]}{LONG[1]}</body>")
+
+
+@pytest.mark.parametrize("value", ["", "=''", "='hidden'", "='true'", "='until-found'"])
+def test_hidden_parts_have_no_text(value):
+    assert main_text(f"<article><p>one</p><div hidden{value}><p>no</p></div></article>") == "one"
+
+
+@pytest.mark.parametrize(
+    "kept",
+    ["<section id='social'><p>t</p></section>", "<section id='promotion'><p>t</p></section>", "<p class='share'>t</p>", "<p class='alert'>t</p>",
+     "<div class='widget'><p>t</p></div>", "<div class='article-header'><h1>t</h1></div>"],
+)
+def test_common_subjects_are_no_marks(kept):
+    assert main_text(f"<body><article><p>one</p>{kept}<p>two</p></article></body>") == "one\n\nt\n\ntwo"
+
+
+def plain_regions(lines):
+    """Ratio, Gaussian mean, threshold and best regions, by loops over all pairs of lines."""
+    ratios = [len(t) / n for t, n in zip(lines.texts, lines.tags, strict=True)]
+    means = []
+    for i in range(len(ratios)):
+        weights = [math.exp(-((i - j) ** 2) / 2) if abs(i - j) <= 3 else 0.0 for j in range(len(ratios))]
+        means.append(sum(w * r for w, r in zip(weights, ratios, strict=True)) / sum(weights))
+    kind = max(k for k, _ in lines.regions)
+    best = {r: max(m for m, own in zip(means, lines.regions, strict=True) if own == r) for r in lines.regions if r[0] == kind}
+    mean = sum(means) / len(means)
+    threshold = min(math.sqrt(sum((m - mean) ** 2 for m in means) / len(means)), max(best.values()))
+    return {r for r, m in best.items() if m >= threshold - 1e-9}
+
+
+def test_regions_equal_the_plain_version():
+    rng = random.Random(17)
+    several = 0
+    for _ in range(150):
+        inner = [rng.choice([f"<p>{'word ' * rng.randrange(60)}</p>", f"<ul>{'<li><a>x</a>' * rng.randrange(9)}</ul>", "<div>", "</div>", "<article>", "</article>", "<h2>t</h2>", "<td>1"]) for _ in range(25)]
+        lines = html_text.Lines()
+        lines.feed("<body>" + "".join(inner))
+        lines.finish()
+        if lines.texts:
+            chosen = html_text.content_regions(lines)
+            assert chosen == plain_regions(lines)
+            several += len(set(lines.regions)) > len(chosen) > 1
+    assert several > 20
+
+
+def test_regions_are_found_without_a_walk():
+    lines = html_text.Lines()
+    rng = random.Random(2)
+    lines.feed("".join(rng.choice(["<div>x", "<ul><li>y", "</div>", "</ul>", "<section>z", "</section>"]) for _ in range(300)))
+    lines.finish()
+    tree = html_text.Tree(lines.nested)
+    for region in range(len(lines.nested)):
+        path, only = [region], True
+        belongs = {region}
+        while path[-1] > 0:
+            only = only and lines.nested[path[-1]][0] in html_text.STRUCTURES
+            path.append(lines.nested[path[-1]][1])
+            if only:
+                belongs.add(path[-1])
+        for outer in range(len(lines.nested)):
+            assert tree.within(region, outer) == (outer in path)
+            assert tree.belongs(region, outer) == (outer in belongs)
+
+
+@pytest.mark.parametrize("markup", ["<a ", "<div>x", "<b>x", "<b><hr>x", "<p><b>", "<ul><li>x", "<b></i>", "<!--", "<a b='", "&#1"])
+def test_hostile_markup_takes_time_in_proportion(markup):
+    begin = time.process_time()
+    main_text(markup * (1_000_000 // len(markup)))
+    assert time.process_time() - begin < 12
+
+
+def test_a_megabyte_of_open_tags():
+    begin = time.process_time()
+    assert main_text("<a " * 333_333) == "" and time.process_time() - begin < 2
+
+
 def test_page_and_main_are_never_set_aside():
     for page in (
         "<body class='comments-open'><p>t</p></body>",
