@@ -5,8 +5,8 @@ word-end suffix over byte characters, text normalised by NFC, white-space foldin
 one pattern. The path is a parameter; every executor reads the file from its own installation.
 
 Encoding is a map over rows without a shuffle, so a hot source or a group of copies costs nothing special. Words
-repeat, so each worker remembers the ids of the words it met last, a bounded number (:data:`REMEMBERED`); its memory
-does not grow with its rows.
+repeat, so each task remembers the ids of the words it met last, within a bound in bytes (:data:`REMEMBERED_BYTES`),
+and forgets them when it ends; its memory does not grow with its rows.
 
 Defined results: a null or empty text has no tokens, and its decoded text is empty; repeated rows give repeated
 rows; an empty table gives an empty table of the same schema; other columns of the input are not looked at unless
@@ -28,7 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-REMEMBERED = 120_000
+from ledgerloom.llm.memory import released
+
+# Bytes of a table of remembered words, twice that with its older generation; bytes of an entry besides its strings.
+REMEMBERED_BYTES = 24 << 20
+ENTRY_BYTES = 220
+# Characters of a piece that is not remembered.
+LONG = 200
 
 # The word pattern of the tokenizer file, with its white-space class spelled out.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -46,25 +52,38 @@ def byte_characters() -> list[str]:
 
 
 class Remembered(dict):
-    """Results of ``work`` by argument, for the ``most`` to twice ``most`` arguments met last.
+    """Results of ``work`` by argument, as many of those met last as take ``most`` to twice ``most`` bytes.
 
-    When the table is full it becomes the older one and a new one begins; what is met again moves over.
+    When the table is full it becomes the older one and a new one begins; what is met again moves over. A long
+    argument is worked out anew each time.
     """
 
-    def __init__(self, work: Callable[[str], bytes], most: int = REMEMBERED):
+    def __init__(self, work: Callable[[str], bytes], most: int = REMEMBERED_BYTES):
         super().__init__()
-        self.work, self.most, self.older = work, most, {}
+        self.work, self.most, self.held, self.older = work, most, 0, {}
 
     def __missing__(self, key: str) -> bytes:
         found = self.older.get(key)
         if found is None:
             found = self.work(key)
-        if len(self) >= self.most:
+            if len(key) > LONG:
+                return found
+        # A character takes four bytes at most.
+        self.held += ENTRY_BYTES + (len(key) if key.isascii() else 4 * len(key)) + len(found)
+        if self.held > self.most:
             self.older = dict(self)
-            self.clear()
+            self.forget_newest()
         self[key] = found
         return found
 
+    def forget_newest(self) -> None:
+        self.clear()
+        self.held = 0
+
+    def forget(self) -> None:
+        self.forget_newest()
+        self.older = {}
+
 
 class Vocabulary:
     """Ids, merge ranks and special strings of one tokenizer file."""
@@ -92,6 +111,10 @@ class Vocabulary:
         self.by_characters = Remembered(self.symbols_ids)
         self.by_piece = Remembered(self.piece_ids)
 
+    def forget(self) -> None:
+        self.by_characters.forget()
+        self.by_piece.forget()
+
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply the lowest-ranked merge, leftmost first, until none applies.
 
@@ -197,4 +220,5 @@ def encode_texts(
                 columns.append(pa.array(map(words.decode, packed), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *results])
 
-    return docs.select(*kept, at).mapInArrow(run, T.StructType(fields))
+    forgetful = released(run, lambda: vocabulary(path).forget())
+    return docs.select(*kept, at).mapInArrow(forgetful, T.StructType(fields))
