@@ -21,25 +21,29 @@ result column gives way to it.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.llm.memory import released
+
 UNKNOWN = "und"
 TEXTS_PER_LANGUAGE, WINDOWS, WINDOW_WORDS = 300, 4, 40
+# Characters of a sampled word; in text without spaces a word may be a whole text.
+WORD_CHARACTERS = 200
 # Hashed n-gram and affix weights per language; words of the lexicon.
 BUCKETS, LEXICON_WORDS, LEXICON_LEAST = 1 << 17, 20_000, 3
 ROUNDS, RATE, DECAY = 40, 0.3, 1e-4
 STRETCH, CHARACTERS_AT_ONCE = 1024, 1 << 20
 
-NO_LETTERS = re.compile(r"[\W\d_]+")
+NO_LETTERS = regex.compile(r"\P{L}+")
 
 
 class Model(NamedTuple):
@@ -161,7 +165,11 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
 def training_sample(
     labelled: DataFrame, key: str, text: str, language: str, texts_per_language: int, windows: int, window_words: int
 ) -> list[tuple[str, list[str]]]:
-    """At most ``texts_per_language * windows`` stretches of words per language, in a fixed order."""
+    """At most ``texts_per_language * windows`` stretches of words per language, in a fixed order.
+
+    A word has at most ``WORD_CHARACTERS`` characters, from a hashed place if it is longer, so the sample is bounded in
+    characters too.
+    """
     usable = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
     ids = usable.select(F.col(key).alias("_id"), F.col(language).alias("_lang"), F.xxhash64(key).alias("_hash"))
     # Hashes are spread evenly, so the smallest of a language lie below a few times their share of the range.
@@ -177,7 +185,12 @@ def training_sample(
 
     def stretch(j: Column) -> Column:
         last = F.greatest(F.lit(0), F.size("words") - window_words)
-        return F.slice("words", (F.pmod(F.xxhash64("_id", j), last + 1) + 1).cast("int"), F.lit(window_words))
+        chosen = F.slice("words", (F.pmod(F.xxhash64("_id", j), last + 1) + 1).cast("int"), F.lit(window_words))
+        return F.transform(chosen, lambda w: F.when(F.length(w) > WORD_CHARACTERS, part_of(w, j)).otherwise(w))
+
+    def part_of(word: Column, j: Column) -> Column:
+        start = F.pmod(F.xxhash64("_id", j), F.length(word) - WORD_CHARACTERS + 1) + 1
+        return F.substr(word, start.cast("int"), F.lit(WORD_CHARACTERS))
 
     cut = texts.select("_id", "_lang", words.alias("words")).select(
         "_id", "_lang", F.explode(F.transform(F.sequence(F.lit(1), F.lit(windows)), stretch)).alias("words")
@@ -309,7 +322,7 @@ def identify_languages(docs: DataFrame, model: Model, text: str = "text", keep:
             found = [pa.array([names[k] for k in best], pa.string()), pa.array(np.clip(share, 0.0, 1.0), pa.float64())]
             yield pa.RecordBatch.from_arrays([*columns, *found], [*kept, *results])
 
-    return docs.select(*kept, docs[text].alias("_langid_text")).mapInArrow(run, T.StructType(fields))
+    return docs.select(*kept, docs[text].alias("_langid_text")).mapInArrow(released(run), T.StructType(fields))
 
 
 def held_out(key: Column) -> Column:
