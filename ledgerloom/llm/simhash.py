@@ -29,11 +29,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.components import components
+from ledgerloom.llm.memory import released
 from ledgerloom.operators import frequent_keys, spread_join
 from ledgerloom.sources import work_folder
 
@@ -76,7 +77,7 @@ def fingerprints(docs: DataFrame, words: int, key: str = "doc_id", text: str = "
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("fingerprint", T.LongType()), *kept])
     asked = [docs[c].alias(f"_{i}") for i, c in enumerate([key, text, *keep])]
-    return docs.select(*asked).mapInArrow(run, schema)
+    return docs.select(*asked).mapInArrow(released(run), schema)
 
 
 # The covering code
@@ -295,13 +296,18 @@ def one_of_each(
     text: str = "text",
     crowded: int = CROWDED,
 ) -> DataFrame:
-    """One row of each component, of the smallest key and then text; rows without a key come last.
+    """One row of each component, of the smallest key and then text hash; rows without a key come last.
 
-    The columns of ``docs`` must not be named as those of :func:`grouped`.
+    Components are chosen from by a hash of key and text, so texts meet the choice in one join and go nowhere else.
+    The columns of ``docs`` must not be named as those of :func:`grouped`, nor ``_mark``.
     """
-    rows = grouped(docs, words, threshold, key, text, crowded, docs.columns)
-    best = Window.partitionBy("root").orderBy(F.col("key").asc_nulls_last(), text)
-    return rows.withColumn("_copy", F.row_number().over(best)).where("_copy = 1").select(*docs.columns)
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    marked = docs.withColumn("_mark", F.md5(F.encode(F.concat_ws(":", name, text), "UTF-8")))
+    rows = grouped(marked, words, threshold, key, text, crowded, ["_mark"])
+    first = F.min(F.struct(F.col("key").isNull(), "key", "_mark"))
+    chosen = rows.groupBy("root").agg(first.alias("first")).select("first._mark")
+    # Rows that are equal in key and text share a mark; they stand together after the join.
+    return marked.join(chosen, "_mark", "left_semi").dropDuplicates(["_mark"]).select(*docs.columns)
 
 
 def hexadecimal(value: str):
