@@ -98,12 +98,13 @@ WITH split AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     length(regexp_replace(text, '\P{L}', '', 'g')) AS letters,
     length(regexp_replace(text, '\P{Lu}', '', 'g')) AS capitals,
+    length(regexp_replace(text, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', '', 'g')) AS unspaced,
     length(text) - length(replace(text, chr(10), '')) AS breaks
   FROM counts
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 5 * n_symbols > n_words OR (n_dup_lines > 3 AND 2 * n_dup_lines > breaks + 1)
-    OR word_chars < 2 * n_words OR word_chars > 25 * n_words OR 2 * letters < word_chars
+    OR word_chars < 2 * n_words OR (word_chars > 25 * n_words AND 2 * unspaced <= word_chars) OR 2 * letters < word_chars
     OR 2 * capitals > letters) AS kept
 FROM judged
 """

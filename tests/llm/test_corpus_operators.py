@@ -96,6 +96,35 @@ def test_counts_and_order_of_rules(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_rules_stand_by_rejections_per_second_among_the_rows_left():
+    # Rule 0 rejects 60 rows, all of which rule 1 rejects too; rule 2 rejects 20 others.
+    sets = {0b000: 20, 0b011: 60, 0b100: 20}
+    assert cascade.greedy_order(sets, [1.0, 1.0, 1.0]) == [0, 2, 1]
+    assert cascade.greedy_order(sets, [10.0, 1.0, 1.0]) == [1, 2, 0]
+    assert cascade.greedy_order(sets, [4.0, 8.0, 1.0]) == [2, 0, 1]
+    assert cascade.greedy_order({}, [1.0, 2.0]) == [0, 1]
+
+
+def test_a_dear_rule_stands_behind_a_cheap_one(spark, tmp_path):
+    rows = [(i, f"{'word ' * 300}{i}") for i in range(600)]
+    path = str(tmp_path / "sample")
+    spark.createDataFrame(rows, "doc_id int, text string").write.parquet(path)
+    dear = cascade.Rule("dear", "regexp_count(text, '(w|o|r|d)+x?') > 0 AND doc_id % 2 = 0")
+    cheap = cascade.Rule("cheap", "doc_id % 2 = 1")
+    sample = spark.read.parquet(path)
+    assert [r.name for r in cascade.cascade_order(sample, [dear, cheap])] == ["cheap", "dear"]
+    assert cascade.failure_sets(sample, [dear, cheap]) == {1: 300, 2: 300}
+
+
+def test_text_of_unspaced_scripts_is_not_too_long_for_words(spark):
+    rows = [(1, ("漢字仮名交" * 8 + " ") * 25), (2, ("a" * 40 + " ") * 25)]
+    kept = {r.doc_id: r.kept for r in cascade.judge_documents(spark.createDataFrame(rows, "doc_id int, text string"), sample_rows=2).collect()}
+    # Both repeat themselves; the rule on its own tells them apart.
+    counted = cascade.text_counts(spark.createDataFrame(rows, "doc_id int, text string"))
+    rule = next(r for r in cascade.RULES if r.name == "word_length")
+    assert {r.doc_id for r in counted.where(cascade.failing(rule)).collect()} == {2} and kept.keys() == {1, 2}
+
+
 # SimHash
 
 
