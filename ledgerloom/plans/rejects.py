@@ -63,9 +63,10 @@ class Split(NamedTuple):
 
 def counted_split(raw: DataFrame, table: str) -> Split:
     tally = Observation()
-    unfit = is_unfit(raw, table)
-    counted = raw.observe(tally, F.count(F.lit(1)).alias("rows"), F.count_if(unfit).alias("rejected"))
-    return Split(counted.where(~unfit), tally)
+    # Told once per row, for the count and for the filter.
+    marked = raw.withColumn("_unfit", is_unfit(raw, table))
+    counted = marked.observe(tally, F.count(F.lit(1)).alias("rows"), F.count_if("_unfit").alias("rejected"))
+    return Split(counted.where("NOT _unfit").drop("_unfit"), tally)
 
 
 def rejected_rows(spark: SparkSession, raw: dict[str, DataFrame], splits: dict[str, Split]) -> DataFrame:

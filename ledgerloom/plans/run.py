@@ -26,11 +26,15 @@ from ledgerloom.plans.marts import (
 from ledgerloom.plans.quality import quality_report
 from ledgerloom.plans.rejects import MOST_REJECTED, check_shares, counted_split, fitting_rows, rejected_rows
 from ledgerloom.plans.staging import build_staging, staged_frequent_keys
-from ledgerloom.sources import load_raw, read_tables, write_tables
+from ledgerloom.sources import load_raw, read_tables
 from ledgerloom.sources.manifest import file_system, last_number, publish, published
+from ledgerloom.sources.metrics import SCHEMA as METRICS
+from ledgerloom.sources.metrics import group_cost
 from ledgerloom.sources.monthly import MONTH, month_of
+from ledgerloom.sources.tables import Written, write_measured
 
 Tables = dict[str, DataFrame]
+Writes = dict[str, Written]
 
 # Fact -> the time by whose month its files are partitioned.
 PARTITION_TIMES = {
@@ -44,16 +48,17 @@ LAYERS = ("staging", "marts", "analytics", "data_quality")
 
 
 class Layers(NamedTuple):
-    """Written tables by layer, read back, with the row counts seen while writing."""
+    """Written tables by layer, read back, with the row counts seen while writing and what each write cost."""
 
     staging: Tables
     marts: Tables
     analytics: Tables
     data_quality: Tables
     row_counts: dict[str, int]
+    metrics: DataFrame
 
 
-def write_layer(spark: SparkSession, tables: Tables, folder: str, counts: dict[str, int] | None = None) -> Tables:
+def write_layer(spark: SparkSession, tables: Tables, folder: str, counts: Writes | None = None) -> Tables:
     """Write ``tables`` below ``folder`` and return them as fresh scans.
 
     Facts with a time get a month column that their files are partitioned by, so a scan of a period reads its months only.
@@ -62,7 +67,7 @@ def write_layer(spark: SparkSession, tables: Tables, folder: str, counts: dict[s
     tables = tables | {
         name: tables[name].select("*", month_of(time)) for name, time in dated.items()
     }
-    written = write_tables(tables, folder, partition_by=dict.fromkeys(dated, MONTH))
+    written = write_measured(tables, folder, partition_by=dict.fromkeys(dated, MONTH))
     if counts is not None:
         counts.update(written)
     return read_tables(spark, folder, tables)
@@ -72,7 +77,7 @@ def write_staging(
     spark: SparkSession,
     raw: Tables,
     folder: str,
-    counts: dict[str, int] | None = None,
+    counts: Writes | None = None,
     datetime_formats: Sequence[str] = (),
 ) -> Tables:
     return write_layer(spark, build_staging(raw, datetime_formats), f"{folder}/staging", counts)
@@ -82,7 +87,7 @@ def write_facts(
     spark: SparkSession,
     stg: Tables,
     folder: str,
-    counts: dict[str, int] | None = None,
+    counts: Writes | None = None,
     frequent: Tables | None = None,
 ) -> Tables:
     """Write the dimensions and every fact but the ledger from written staging tables."""
@@ -97,7 +102,7 @@ def write_facts(
     return write_layer(spark, facts, f"{folder}/marts", counts)
 
 
-def write_marts(spark: SparkSession, stg: Tables, folder: str, counts: dict[str, int] | None = None) -> Tables:
+def write_marts(spark: SparkSession, stg: Tables, folder: str, counts: Writes | None = None) -> Tables:
     """Write all marts; the ledger reads the written ``fact_orders``."""
     frequent = staged_frequent_keys(stg)
     marts = write_facts(spark, stg, folder, counts, frequent)
@@ -120,18 +125,31 @@ def run_layers(
     Rows with a number that does not fit are set apart in ``data_quality/rejected_rows``; if they are more than the
     share ``most_rejected`` of a table, the run ends there.
     """
-    counts: dict[str, int] = {}
+    counts: Writes = {}
     splits = {table: counted_split(df, table) for table, df in raw.items()}
     stg = write_staging(spark, {t: split.rows for t, split in splits.items()}, folder, counts, datetime_formats)
     rejected = {"rejected_rows": rejected_rows(spark, raw, splits)}
     report = write_layer(spark, rejected, f"{folder}/data_quality", counts)
     check_shares(splits, most_rejected)
     marts = write_marts(spark, stg, folder, counts)
-    fitting = {table: fitting_rows(df, table) for table, df in raw.items()}
+    fitting = {t: fitting_rows(df, t) if splits[t].tally.get["rejected"] else df for t, df in raw.items()}
     checks = {"data_quality_report": quality_report(fitting, stg, marts)}
     report |= write_layer(spark, checks, f"{folder}/data_quality", counts)
     analytics = write_layer(spark, build_analytics(marts), f"{folder}/analytics", counts)
-    return Layers(stg, marts, analytics, report, counts)
+    layers = dict(zip(LAYERS, (stg, marts, analytics, report), strict=True))
+    metrics = write_metrics(spark, layers, counts, f"{folder}/run_metrics")
+    return Layers(**layers, row_counts={name: written.rows for name, written in counts.items()}, metrics=metrics)
+
+
+def write_metrics(spark: SparkSession, layers: dict[str, Tables], counts: Writes, path: str) -> DataFrame:
+    """One row per table: how long its write took, rows, bytes and tasks."""
+    rows = [
+        (layer, name, counts[name].seconds, counts[name].rows, *group_cost(spark, counts[name].group))
+        for layer, tables in layers.items()
+        for name in tables
+    ]
+    spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema(METRICS).parquet(path)
 
 
 def run(
@@ -164,7 +182,8 @@ def published_layers(spark: SparkSession, out_folder: str) -> Layers:
     tables = {
         layer: read_tables(spark, f"{out_folder}/{found['folder']}/{layer}", names) for layer, names in found["tables"].items()
     }
-    return Layers(**tables, row_counts=found["row_counts"])
+    metrics = spark.read.schema(METRICS).parquet(f"{out_folder}/{found['folder']}/run_metrics")
+    return Layers(**tables, row_counts=found["row_counts"], metrics=metrics)
 
 
 def drop_runs(spark: SparkSession, out_folder: str, keep: int = 2) -> None:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -55,18 +57,32 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     return written.get["rows"]
 
 
-def write_tables(
+class Written(NamedTuple):
+    """Rows of a written table, how long the write took, and the group of its jobs."""
+
+    rows: int
+    seconds: float
+    group: str
+
+
+def write_measured(
     tables: dict[str, DataFrame], folder: str, fmt: str = "parquet", partition_by: dict[str, str] | None = None
-) -> dict[str, int]:
-    """Write independent tables side by side below ``folder``; returns their row counts.
+) -> dict[str, Written]:
+    """Write independent tables side by side below ``folder``, the jobs of each in a group of its own.
 
     ``partition_by``: table -> the column that its files are partitioned by.
     """
     by = partition_by or {}
-    jobs: dict[str, Callable[[], int]] = {
-        name: inheritable_thread_target(df.sparkSession)(
-            lambda df=df, name=name: write_table(df, f"{folder}/{name}", fmt, by.get(name))
-        )
+
+    def written(df: DataFrame, name: str) -> Written:
+        group = f"{name}-{uuid.uuid4().hex}"
+        df.sparkSession.sparkContext.setJobGroup(group, f"write {name}")
+        begin = time.monotonic()
+        rows = write_table(df, f"{folder}/{name}", fmt, by.get(name))
+        return Written(rows, time.monotonic() - begin, group)
+
+    jobs: dict[str, Callable[[], Written]] = {
+        name: inheritable_thread_target(df.sparkSession)(lambda df=df, name=name: written(df, name))
         for name, df in tables.items()
     }
     with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
@@ -74,6 +90,13 @@ def write_tables(
         return {name: future.result() for name, future in futures.items()}
 
 
+def write_tables(
+    tables: dict[str, DataFrame], folder: str, fmt: str = "parquet", partition_by: dict[str, str] | None = None
+) -> dict[str, int]:
+    """:func:`write_measured`, with the row counts alone."""
+    return {name: written.rows for name, written in write_measured(tables, folder, fmt, partition_by).items()}
+
+
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """Tables written by :func:`write_tables` as Parquet."""
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}

@@ -52,7 +52,14 @@ def test_numbers_coerce_or_become_null(spark):
 def test_ids_are_whole_numbers(spark):
     cells = ["500669.0", "12", " 12 ", "5e2", "12.5", "x7", None, "9007199254740993", "9007199254740993.0", "1e30"]
     expected = [500669, 12, 12, 500, None, None, None, 9007199254740993, 9007199254740993, None]
-    assert column(spark, fn.whole_number, cells) == expected
+    assert column(spark, lambda name: fn.whole_number(name, strict=False), cells) == expected
+    assert column(spark, fn.whole_number, cells[:-1]) == expected[:-1]
+
+
+@pytest.mark.parametrize("cell", ["1e30", "99999999999999999999", "-9223372036854775809", "9223372036854775808.0", "1" * 50])
+def test_an_id_that_does_not_fit_raises(spark, cell):
+    with pytest.raises(Exception, match="an id outside bigint"):
+        column(spark, fn.whole_number, [cell])
 
 
 def test_price_drops_every_suffix_in_any_casing(spark):

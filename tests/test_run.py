@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 from collections import Counter
 
 import pytest
@@ -103,6 +104,67 @@ def test_run_twice_gives_the_same_tables(spark, tmp_path):
             assert first.row_counts[name] == rows.total(), (layer, name)
 
 
+def test_a_run_that_fails_leaves_the_last_whole_one(spark, tmp_path, monkeypatch):
+    module = sys.modules["ledgerloom.plans.run"]
+    for table, df in raw_cells(spark, SMALL, *RAW_COLUMNS).items():
+        write_table(df.select(*RAW_COLUMNS[table]).coalesce(1), f"{tmp_path}/raw/{table}.csv", "csv")
+    out = f"{tmp_path}/out"
+    with pytest.raises(FileNotFoundError):
+        published_layers(spark, out)
+    first = run(spark, f"{tmp_path}/raw", out)
+    before = contents(published_layers(spark, out).analytics)
+    assert before == contents(first.analytics)
+
+    def fail(marts):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "build_analytics", fail)
+        with pytest.raises(OSError, match="no space"):
+            run(spark, f"{tmp_path}/raw", out)
+    assert contents(published_layers(spark, out).analytics) == before
+    # What each table cost.
+    costs = {r.table_name: r for r in published_layers(spark, out).metrics.collect()}
+    assert costs.keys() == first.row_counts.keys()
+    orders = costs["fact_orders"]
+    assert orders.rows == first.row_counts["fact_orders"] and orders.seconds > 0 and orders.tasks > 1
+    assert orders.bytes_shuffled > 0 and orders.bytes_written > 0 and orders.longest_task_seconds >= orders.median_task_seconds > 0
+    run(spark, f"{tmp_path}/raw", out)
+    drop_runs(spark, out, keep=1)
+    assert contents(published_layers(spark, out).analytics) == before
+    assert len([p for p in (tmp_path / "out" / "runs").iterdir()]) == 2  # the last one, and the one that failed
+
+
+def test_rejected_rows_are_set_apart_and_counted(spark, tmp_path):
+    from ledgerloom.plans import rejects
+    from ledgerloom.plans.run import write_staging
+
+    good = [(str(i), "1", "2026-01-05", "card", "success", "10", "", "") for i in range(40)]
+    bad = [
+        ("99999999999999999999", "1", "2026-01-05", "card", "success", "10", "", ""),
+        ("7", "2", "2026-01-05", "card", "success", "123456789012345.5", "", "1e30"),
+        ("8", "12.5", "2026-01-05", "card", "success", "x", "", ""),
+    ]
+    raw = {"payments": raw_frame(spark, "payments", [*good, *bad])}
+    splits = {t: rejects.counted_split(df, t) for t, df in raw.items()}
+    counts = {}
+    staged = write_staging(spark, {t: s.rows for t, s in splits.items()}, str(tmp_path), counts)["stg_payments"]
+    cells = {(r.arrival, r.column_name, r.cell) for r in rejects.rejected_rows(spark, raw, splits).collect()}
+    assert cells == {("40", "payment_id", "99999999999999999999"), ("41", "payment_amount", "123456789012345.5"), ("41", "points_used", "1e30")}
+    # Payment 7 keeps its version before; 8 has lost its order id with its last version, a documented drop.
+    assert {r.payment_id for r in staged.collect()} == set(range(40)) - {8}
+    tally = splits["payments"].tally.get
+    replaced_or_dropped = 2
+    assert tally == {"rows": 43, "rejected": 2}
+    assert counts["stg_payments"].rows + tally["rejected"] + replaced_or_dropped == tally["rows"]
+    rejects.check_shares(splits, 0.05)
+    with pytest.raises(rejects.TooManyRejected, match="2 of 43"):
+        rejects.check_shares(splits, 0.04)
+    # Without the split, such a number raises rather than lose its row.
+    with pytest.raises(Exception, match="payment_id: an id outside bigint"):
+        build_staging(raw)["stg_payments"].collect()
+
+
 def test_written_and_planned_runs_agree(spark):
     raw = raw_tables(spark, SMALL)
     layers = run_layers(spark, raw, work_folder(spark, "agree"))
