@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 from ledgerloom.llm.memory import released
 
 # Bytes of a table of remembered words, twice that with its older generation; bytes of an entry besides its strings.
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 44 << 20
 ENTRY_BYTES = 220
 # Characters of a piece that is not remembered.
 LONG = 200
@@ -103,7 +103,9 @@ class Vocabulary:
         for rank, (left, right) in enumerate(model["merges"]):
             self.ranks[self.ids[left] << self.shift | self.ids[right]] = rank
             self.merged.append(self.ids[left + right])
-        self.byte_character = byte_characters()
+        # Id of each byte within a word and at its end.
+        self.inner = [self.ids[c] for c in byte_characters()]
+        self.final = [self.ids[c + self.suffix] for c in byte_characters()]
         self.words = regex.compile(WORDS)
         specials = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
@@ -119,40 +121,40 @@ class Vocabulary:
         """Apply the lowest-ranked merge, leftmost first, until none applies.
 
         The symbols form a doubly linked list (``before``/``after``); the queue holds rank and place of candidate
-        pairs as they arise. An entry whose pair has changed since is stale and skipped when it is taken.
+        pairs as they arise. ``current`` is the rank of the pair that begins at a place now, -1 for none: an entry with
+        another rank is stale and skipped when it is taken.
         """
-        n, shift, rank_of, push = len(symbols), self.shift, self.ranks.get, heapq.heappush
-        at = [*symbols, 0]
-        before, after = list(range(-1, n)), list(range(1, n + 2))
+        n, shift, rank_of, push, pop = len(symbols), self.shift, self.ranks.get, heapq.heappush, heapq.heappop
+        merged, at = self.merged, symbols
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         place_bits = n.bit_length()
         place = (1 << place_bits) - 1
-        queue = []
-        for i in range(n - 1):
-            rank = rank_of(at[i] << shift | at[i + 1])
-            if rank is not None:
-                queue.append(rank << place_bits | i)
+        current = [rank_of(a << shift | b, -1) for a, b in zip(at, at[1:], strict=False)]
+        current.append(-1)
+        queue = [rank << place_bits | i for i, rank in enumerate(current) if rank >= 0]
         heapq.heapify(queue)
         while queue:
-            entry = heapq.heappop(queue)
-            i = entry & place
-            j = after[i]
-            # A merged-away symbol is -1, which makes a pair that has no rank.
-            if j >= n or rank_of(at[i] << shift | at[j]) != entry >> place_bits:
+            entry = pop(queue)
+            i, rank = entry & place, entry >> place_bits
+            if current[i] != rank:
                 continue
-            symbol = at[i] = self.merged[entry >> place_bits]
-            at[j] = -1
+            j = after[i]
+            symbol = at[i] = merged[rank]
+            at[j] = current[j] = -1
             k = after[i] = after[j]
-            before[k] = i
             if k < n:
-                rank = rank_of(symbol << shift | at[k])
-                if rank is not None:
+                before[k] = i
+                rank = current[i] = rank_of(symbol << shift | at[k], -1)
+                if rank >= 0:
                     push(queue, rank << place_bits | i)
+            else:
+                current[i] = -1
             h = before[i]
             if h >= 0:
-                rank = rank_of(at[h] << shift | symbol)
-                if rank is not None:
+                rank = current[h] = rank_of(at[h] << shift | symbol, -1)
+                if rank >= 0:
                     push(queue, rank << place_bits | h)
-        return [s for s in at[:n] if s >= 0]
+        return [s for s in at if s >= 0]
 
     def symbols_ids(self, characters: str) -> bytes:
         """Ids of one word, given as byte characters, as little-endian unsigned 32-bit integers."""
@@ -160,10 +162,15 @@ class Vocabulary:
         return array("I", self.merge([self.ids[s] for s in symbols])).tobytes()
 
     def piece_ids(self, piece: str) -> bytes:
-        """Ids of a normalised piece of text between white space: one word or a few."""
-        character = self.byte_character
-        words = ("".join([character[b] for b in w.encode()]) for w in self.words.findall(piece))
-        return b"".join(map(self.by_characters.__getitem__, words))
+        """Ids of a normalised piece of text between white space: one word, or a few, each remembered as a piece."""
+        words = self.words.findall(piece)
+        if len(words) > 1:
+            return b"".join(map(self.by_piece.__getitem__, words))
+        if not words:
+            return b""
+        raw = words[0].encode()
+        symbols = [*map(self.inner.__getitem__, raw[:-1]), self.final[raw[-1]]]
+        return array("I", self.merge(symbols)).tobytes()
 
     def _plain(self, text: str) -> Iterable[bytes]:
         if text.isascii() and not SEPARATORS.search(text):
