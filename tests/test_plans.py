@@ -52,18 +52,39 @@ def test_order_joins_reuse_the_order_partitioning(spark):
     assert keys.count("customer_id, _bucket") == 2
 
 
-def test_eligible_orders_are_filtered_before_the_card_join(spark):
+def test_eligible_orders_are_filtered_before_the_tier_and_card_joins(spark, monkeypatch):
+    from ledgerloom.operators import tiers
+    from ledgerloom.plans import loyalty, staging
+
     stg = write_staging(spark, raw_tables(spark, SMALL), work_folder(spark, "plans"))
     facts = marts.build_marts(stg)
     folder = work_folder(spark, "orders")
     facts["fact_orders"].write.parquet(folder)
     orders = spark.read.parquet(folder)
-    from ledgerloom.plans import loyalty, staging
+    ordered, seen = tiers.ordered_chunks, []
+
+    def chunks(df, *arguments):
+        seen.append(plan_text(df))
+        return ordered(df, *arguments)
 
+    monkeypatch.setattr(tiers, "ordered_chunks", chunks)
     earn = loyalty.computed_earn(
         orders, stg["stg_customer_cards"], stg["stg_points_thresholds"], stg["stg_card_points_ledger"],
         staging.staged_frequent_keys(stg)["customer_id"],
     )
-    text = plan_text(earn)
-    assert "EqualTo(is_valid_revenue,true)" in text or "PushedFilters: [IsNotNull(is_valid_revenue)" in text
-    assert "EqualTo(card_status,active)" in text
+    (amounts,) = seen
+    assert "EqualTo(is_valid_revenue,true)" in amounts or "PushedFilters: [IsNotNull(is_valid_revenue)" in amounts
+    assert "EqualTo(card_status,active)" in plan_text(earn)
+
+
+def test_amounts_are_not_exploded_for_their_tiers(spark):
+    rows = spark.range(1000).selectExpr("id", "cast(id as decimal(18,4)) AS amount")
+    tiers = spark.sql("SELECT 10BD AS min_amount, 20BD AS max_amount, 3BD AS points_awarded").selectExpr(
+        "cast(min_amount as decimal(18,4)) AS min_amount", "cast(max_amount as decimal(18,4)) AS max_amount",
+        "cast(points_awarded as decimal(18,4)) AS points_awarded",
+    )
+    from ledgerloom.operators import tier_lookup
+
+    found = tier_lookup(rows, "amount", tiers)
+    assert "Generate" not in plan_text(found)
+    assert {r.id for r in found.collect() if r.points_delta} == set(range(10, 21))
