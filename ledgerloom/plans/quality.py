@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import whole_number
-from ledgerloom.operators import duplicate_rows
+from ledgerloom.operators import duplicate_rows, require_parsed_keys
 
 
 class Check(NamedTuple):
@@ -70,7 +70,8 @@ def _total(column: str):
 
 def _raw_id(raw: DataFrame, key: str) -> DataFrame:
     """Raw ids compared as numbers where they are numbers (``1`` and ``1.0`` repeat each other)."""
-    return raw.select(F.coalesce(whole_number(key, strict=False).cast("string"), F.col(key)).alias(key))
+    ids = raw.select(F.coalesce(whole_number(key, strict=False).cast("string"), F.col(key)).alias(key))
+    return require_parsed_keys(ids, key)
 
 
 def repeated_orders(raw: Tables, stg: Tables, marts: Tables) -> DataFrame:
@@ -82,9 +83,12 @@ def repeated_payments(raw: Tables, stg: Tables, marts: Tables) -> DataFrame:
 
 
 def orphans_of_orders(raw: Tables, stg: Tables, marts: Tables) -> DataFrame:
-    """Order lines and payments without an order share one anti-join on counts per order."""
+    """Order lines and payments without an order share one anti-join on counts per order.
+
+    ``stg["orphan_lines"]``, if given, holds the lines that can be without one.
+    """
     lines, payments = "order_details_without_order", "payments_without_order"
-    references = stg["stg_order_details"].select("order_id", F.lit(1).alias(lines), F.lit(0).alias(payments))
+    references = stg.get("orphan_lines", stg["stg_order_details"]).select("order_id", F.lit(1).alias(lines), F.lit(0).alias(payments))
     references = references.unionByName(
         stg["stg_payments"].select("order_id", F.lit(0).alias(lines), F.lit(1).alias(payments))
     )
