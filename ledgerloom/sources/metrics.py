@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -30,14 +31,24 @@ def _each(sequence):
     return [sequence.apply(i) for i in range(sequence.size())]
 
 
+def _stage(store, number: int):
+    """The last attempt of a stage; none if the store has dropped it, as it does with skipped stages first."""
+    try:
+        return store.lastStageAttempt(number)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() != "java.util.NoSuchElementException":
+            raise
+        return None
+
+
 def group_cost(spark: SparkSession, group: str) -> Cost:
     """The cost of the finished jobs of a group; stages that were skipped, as their output was there, cost nothing."""
     context = spark._jsc.sc()
     context.listenerBus().waitUntilEmpty()
     store = context.statusStore()
     jobs = [job for job in _each(store.jobsList(None)) if job.jobGroup().isDefined() and job.jobGroup().get() == group]
-    stages = [store.lastStageAttempt(n) for n in sorted({n for job in jobs for n in _each(job.stageIds())})]
-    stages = [stage for stage in stages if stage.numCompleteTasks()]
+    stages = [_stage(store, n) for n in sorted({n for job in jobs for n in _each(job.stageIds())})]
+    stages = [stage for stage in stages if stage and stage.numCompleteTasks()]
     ends = spark._sc._gateway.new_array(spark._jvm.double, 2)
     ends[0], ends[1] = 0.5, 1.0
     longest = (0.0, 0.0)
