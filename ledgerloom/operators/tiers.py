@@ -22,13 +22,14 @@ SIZES = 62
 
 
 def position(amount: Column) -> Column:
-    """Place of an amount on the line of positions; amounts beyond all tier bounds share the ends of the line."""
+    """Place of an amount on the line of positions, null for a null; amounts beyond all tier bounds share the ends of the line."""
     half = F.lit(SPAN // 2).cast("decimal(38,0)")
     scaled = amount.cast("decimal(38,13)") * 10000
     steps = F.floor(scaled)
     between = F.when(scaled > steps, 1).otherwise(0)
     reach = F.greatest(-half, F.least(half, steps.cast("decimal(38,0)") * 2 + between))
-    return (reach + half).cast("bigint")
+    # ``least`` and ``greatest`` pass over a null, which would put it at the end of the line.
+    return F.when(amount.isNotNull(), (reach + half).cast("bigint"))
 
 
 def tier_blocks(tiers: DataFrame) -> DataFrame:
