@@ -10,6 +10,9 @@ from ledgerloom.plans.staging import stg_points_thresholds
 from ledgerloom.schema import FACT_COLUMNS
 from ledgerloom.sources import read_raw_csv
 
+# The columns of ``fact_orders`` that earning reads.
+EARNING_COLUMNS = ("order_id", "customer_id", "order_date", "order_expected_amount", "is_valid_revenue")
+
 
 def computed_earn(
     orders: DataFrame, cards: DataFrame, tiers: DataFrame, ledger: DataFrame, frequent_customers: DataFrame

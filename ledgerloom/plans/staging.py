@@ -34,6 +34,10 @@ from ledgerloom.operators import (
 from ledgerloom.schema import AMOUNT, INGEST_ORDINAL, PERCENT, POINTS, PRICE, QUANTITY, RAW_COLUMNS
 
 
+# Line numbers of an order that are brought together to find copies.
+LINES_TOGETHER = 1024
+
+
 def _blank_filled(name: str):
     return F.coalesce(upper_text(name), F.lit("")).alias(name)
 
@@ -77,8 +81,14 @@ def keyed_order_details(raw: DataFrame) -> DataFrame:
 
 
 def stg_order_details(raw: DataFrame) -> DataFrame:
-    """Exact copies of a line are dropped; the same product twice in one order is kept."""
-    return dedup_exact(keyed_order_details(raw), RAW_COLUMNS["order_details"])
+    """Exact copies of a line are dropped; the same product twice in one order is kept.
+
+    Copies share order and line number, so lines meet by these, ``LINES_TOGETHER`` numbers of an order in one place: its
+    amounts are summed there before they move, and an order of very many lines still spreads.
+    """
+    lines = keyed_order_details(raw).withColumn("_lines", F.expr(f"line_id div {LINES_TOGETHER}"))
+    met = lines.repartition("order_id", "_lines")
+    return dedup_exact(met, [*RAW_COLUMNS["order_details"], "_lines"]).drop("_lines")
 
 
 def order_details_without(raw: DataFrame, orders: DataFrame) -> DataFrame:

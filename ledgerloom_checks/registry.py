@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -187,23 +187,30 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.build_fact_orders(*_inputs(spark, sf_dir, *ORDER_INPUTS))
 
 
-def _written_orders(spark: SparkSession, stg: Tables, frequent: Tables) -> DataFrame:
-    """The order fact, written once, for plans that read it in several places."""
-    path = f"{work_folder(spark, 'orders')}/fact_orders"
-    write_table(marts.build_fact_orders(stg, frequent), path)
-    return spark.read.parquet(path)
+def _written(df: DataFrame, name: str, columns: Sequence[str] = ()) -> DataFrame:
+    """``df``, written once, for plans that read it in several places: all its columns, or those that they read.
+
+    Spark sees which columns are not read only as far as a write, so it would carry all others up to there.
+    """
+    path = f"{work_folder(df.sparkSession, name)}/{name}"
+    write_table(df.select(*dict.fromkeys(columns)) if columns else df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _written_orders(stg: Tables, frequent: Tables, columns: Sequence[str] = ()) -> DataFrame:
+    return _written(marts.build_fact_orders(stg, frequent), "fact_orders", columns)
 
 
 def query_tier_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg, frequent = _inputs(spark, sf_dir, *ORDER_INPUTS, "points_thresholds")
-    orders = _written_orders(spark, stg, frequent).select("order_id", "order_expected_amount")
+    orders = _written_orders(stg, frequent).select("order_id", "order_expected_amount")
     return tier_lookup(orders, "order_expected_amount", stg["stg_points_thresholds"])
 
 
 def ledger_computed_earn(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
     return loyalty.computed_earn(
-        _written_orders(spark, stg, frequent), stg["stg_customer_cards"], stg["stg_points_thresholds"],
+        _written_orders(stg, frequent, loyalty.EARNING_COLUMNS), stg["stg_customer_cards"], stg["stg_points_thresholds"],
         stg["stg_card_points_ledger"], frequent["customer_id"],
     )
 
@@ -216,7 +223,7 @@ def _ledger(orders: DataFrame, stg: Tables, frequent: Tables) -> DataFrame:
 
 def fact_card_points_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
-    return _ledger(_written_orders(spark, stg, frequent), stg, frequent)
+    return _ledger(_written_orders(stg, frequent, loyalty.EARNING_COLUMNS), stg, frequent)
 
 
 def tier_lookup_many(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +244,7 @@ def points_default_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "tiers")
     cells = raw_cells(spark, sf_dir, "points_thresholds")["points_thresholds"]
     write_table(cells.select(*RAW_COLUMNS["points_thresholds"]), f"{folder}/points_thresholds.csv", "csv")
-    orders = _written_orders(spark, *_inputs(spark, sf_dir, *ORDER_INPUTS)).select("order_id", "order_expected_amount")
+    orders = _written_orders(*_inputs(spark, sf_dir, *ORDER_INPUTS)).select("order_id", "order_expected_amount")
     return loyalty.points_for_amounts(orders, "order_expected_amount", raw_folder=folder)
 
 
@@ -362,7 +369,7 @@ def redemption_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def balance_at_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg, frequent = _inputs(spark, sf_dir, *LEDGER_INPUTS)
-    ledger = _ledger(_written_orders(spark, stg, frequent), stg, frequent)
+    ledger = _ledger(_written_orders(stg, frequent, loyalty.EARNING_COLUMNS), stg, frequent)
     payments = marts.fact_payments(stg["stg_payments"])
     return redemption.balance_at_payment(payments, ledger, work_folder(spark, "balance"))
 
