@@ -12,7 +12,7 @@ from ledgerloom.operators.keys import (
 from ledgerloom.operators.latest import latest_value
 from ledgerloom.operators.ordered import running_total, value_spans
 from ledgerloom.operators.skew import frequent_keys, spread_join
-from ledgerloom.operators.tiers import tier_lookup
+from ledgerloom.operators.tiers import tier_lookup, tier_lookups
 
 __all__ = [
     "dedup_exact",
@@ -28,5 +28,6 @@ __all__ = [
     "running_total",
     "spread_join",
     "tier_lookup",
+    "tier_lookups",
     "value_spans",
 ]
